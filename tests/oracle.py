@@ -1,0 +1,53 @@
+"""Compare a registered query with its SQL: column names, types and every value."""
+
+from __future__ import annotations
+
+import os
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+KINDS = {
+    "bigint": "int64", "int": "int32", "double": "double", "string": "string",
+    "timestamp": "timestamp", "date": "date", "boolean": "bool",
+}
+DUCK_KINDS = {
+    "BIGINT": "int64", "INTEGER": "int32", "DOUBLE": "double", "VARCHAR": "string",
+    "TIMESTAMP": "timestamp", "DATE": "date", "BOOLEAN": "bool",
+}
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    connection.execute("SET TimeZone = 'UTC'")
+    for table in TABLES:
+        path = f"{sf_dir}/{table}.parquet"
+        if os.path.exists(path):
+            connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def _sorted(columns: list[str], rows: list[tuple]) -> list[tuple]:
+    order = sorted(range(len(columns)), key=columns.__getitem__)
+    return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
+
+
+def differences(spark_df, connection, sql: str) -> list:
+    """Empty when equal; else what differs."""
+    duck = connection.sql(sql)
+    spark_types = {name: KINDS.get(kind, kind) for name, kind in spark_df.dtypes}
+    duck_types = {
+        name: DUCK_KINDS.get(str(kind), str(kind)) for name, kind in zip(duck.columns, duck.types)
+    }
+    if spark_types != duck_types:
+        return ["types", sorted(set(spark_types.items()) ^ set(duck_types.items()))]
+    mine = _sorted(spark_df.columns, [tuple(row) for row in spark_df.collect()])
+    theirs = _sorted(duck.columns, duck.fetchall())
+    if len(mine) != len(theirs):
+        return ["rows", len(mine), len(theirs)]
+    off = [pair for pair in zip(mine, theirs) if pair[0] != pair[1]]
+    return ["values", len(off), off[:2]] if off else []
