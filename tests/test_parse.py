@@ -1,0 +1,79 @@
+from conftest import START_MS, frame
+from tickloom.operators import frame_type_counts, parse_frames, parse_trades
+
+
+def test_worked_example(trades):
+    row = trades(frame(price="78235.14000000", qty="0.00047000", maker=True,
+                       T=1778973680727)).first()
+    assert row.side == "SELL"
+    assert abs(row.notional - 36.7705158) < 1e-9
+    assert row.trade_ms == 1778973680727
+
+
+def test_columns_and_types(trades):
+    assert trades(frame()).dtypes == [
+        ("symbol", "string"), ("trade_id", "bigint"), ("trade_ms", "bigint"),
+        ("event_ts", "timestamp"), ("price_d", "double"), ("qty_d", "double"),
+        ("side", "string"), ("notional", "double"),
+    ]
+
+
+def test_event_type_column_is_optional(raw):
+    assert parse_trades(raw(frame()), event_types=True).columns[0] == "event_type"
+
+
+def test_frames_that_are_not_trades_are_dropped(trades):
+    order_book = '{"lastUpdateId": 1, "bids": [["1.0", "2.0"]], "asks": []}'
+    assert trades("not json", "", "[]", frame(e="24hrTicker"), order_book,
+                  frame(e=...), frame(e=None)).count() == 0
+
+
+def test_null_value_is_dropped(spark):
+    assert parse_trades(spark.createDataFrame([(None,)], "value binary")).count() == 0
+
+
+def test_fields_that_differ_by_case_stay_apart(raw):
+    row = parse_frames(raw(frame(E=1, T=2, t=3, e="x", m=True, M=False))).first()
+    assert (row.event_ms, row.trade_ms, row.trade_id) == (1, 2, 3)
+    assert (row.event_type, row.buyer_is_maker, row.ignore_flag) == ("x", True, False)
+
+
+def test_missing_maker_flag_is_a_buy(trades):
+    assert [r.side for r in trades(frame(m=None), frame(m=...), frame(maker=True)).collect()] \
+        == ["BUY", "BUY", "SELL"]
+
+
+def test_bad_price_keeps_the_row(trades):
+    row = trades(frame(price="abc")).first()
+    assert (row.price_d, row.notional, row.qty_d) == (None, None, 1.0)
+
+
+def test_wrong_type_is_null_in_its_field_only(trades):
+    row = trades(frame(T="soon")).first()
+    assert (row.trade_ms, row.event_ts, row.price_d) == (None, None, 100.0)
+
+
+def test_number_where_text_is_expected_is_kept(trades):
+    assert trades(frame(price=12.5)).first().price_d == 12.5
+
+
+def test_event_time_is_the_trade_time(trades):
+    row = trades(frame(second=1.5, E=START_MS + 9000)).first()
+    assert row.event_ts.timestamp() * 1000 == START_MS + 1500
+
+
+def test_repeats_count_unless_deduplicated(raw):
+    twice = raw(frame(trade_id=5), frame(trade_id=5), frame(trade_id=5, symbol="ETHUSDT"))
+    assert parse_trades(twice).count() == 3
+    assert parse_trades(twice, deduplicate=True).count() == 2
+
+
+def test_frame_type_counts(raw):
+    counts = frame_type_counts(raw(frame(), frame(), frame(e="24hrTicker"), "junk"))
+    assert {r.event_type: r.frames for r in counts.collect()} == {
+        "trade": 2, "24hrTicker": 1, None: 1}
+
+
+def test_each_frame_is_parsed_once(trades):
+    plan = trades(frame())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1

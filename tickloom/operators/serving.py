@@ -46,9 +46,9 @@ def recent_trades(cells: DataFrame, symbol: str, limit: int = 30) -> DataFrame:
     )
 
 
-def trade_lookup(cells: DataFrame, keys: DataFrame) -> DataFrame:
-    """The trades whose ``row_key`` is among ``keys``."""
-    return cells.join(keys.select("row_key").distinct(), "row_key", "left_semi")
+def trade_lookup(cells: DataFrame, *keys: str) -> DataFrame:
+    """The trades stored under the given row keys; the keys reach the scan of a stored table."""
+    return cells.filter(F.col("row_key").isin(*keys))
 
 
 def latest_bar(bars: DataFrame, as_of: AsOf, lookback_s: int = 180) -> DataFrame:

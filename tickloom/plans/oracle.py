@@ -253,9 +253,7 @@ ORACLE = {
   FROM bars WHERE symbol = 'BTCUSDT' AND {_recent(3600)}""",
     "recent_trades": f"""WITH {CELLS}
   SELECT * FROM cells WHERE symbol = 'BTCUSDT' ORDER BY trade_id DESC LIMIT 30""",
-    "trade_lookup": f"""WITH {CELLS}
-  SELECT * FROM cells
-  QUALIFY trade_id = max(trade_id) OVER (PARTITION BY symbol)""",
+    "trade_lookup": f"WITH {CELLS} SELECT * FROM cells WHERE trade_id = 777",
     "latest_bar": f"WITH {BARS}, {LATEST} SELECT * FROM latest",
     "summary": f"""WITH {BARS}, {LATEST}, {METADATA}, {TRACKED}
   SELECT symbol, vwap_usd, high_usd, low_usd, trade_count, total_volume, window_start,

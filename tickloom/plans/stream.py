@@ -22,8 +22,8 @@ from tickloom.streaming.jobs import start, start_console_job
 from tickloom.streaming.scratch import scratch
 from tickloom.streaming.sinks import (
     BatchWriter, create_bars_table, create_trades_table, keyed_bar_writer, keyed_trade_writer,
-    land_frames, read_keyed, read_versions, table_bar_writer, table_trade_writer,
-    version_writer,
+    land_frames, read_keyed_bars, read_keyed_trades, read_versions, table_bar_writer,
+    table_trade_writer, version_writer,
 )
 
 Build = Callable[[DataFrame], DataFrame]
@@ -197,23 +197,20 @@ def vwap_latest_version(spark, sf_dir):
         "ingested_at", "query_id", "batch_id")
 
 
-def _into_keyed(spark, feed, name, writer, build, mode) -> DataFrame:
-    home = scratch(spark, name)
-    write = writer(symbol_metadata(spark), f"{home}/keyed")
-    _feed(spark, home, feed, build, mode, _to_batches(write), name)
-    return read_keyed(spark, f"{home}/keyed")
-
-
 def trades_keyed(spark, sf_dir):
+    home = scratch(spark, "trades_keyed")
     first, second, third = parts(spark, sf_dir)
     delivered_twice = [first, second, second, third]
-    return _into_keyed(
-        spark, delivered_twice, "trades_keyed", keyed_trade_writer, lambda t: t, "append")
+    sink = _to_batches(keyed_trade_writer(symbol_metadata(spark), f"{home}/keyed"))
+    _feed(spark, home, delivered_twice, lambda t: t, "append", sink, "trades_keyed")
+    return read_keyed_trades(spark, f"{home}/keyed")
 
 
 def vwap_keyed(spark, sf_dir):
-    return _into_keyed(
-        spark, parts(spark, sf_dir), "vwap_keyed", keyed_bar_writer, op.vwap, "update")
+    home = scratch(spark, "vwap_keyed")
+    sink = _to_batches(keyed_bar_writer(symbol_metadata(spark), f"{home}/keyed"))
+    _feed(spark, home, parts(spark, sf_dir), op.vwap, "update", sink, "vwap_keyed")
+    return read_keyed_bars(spark, f"{home}/keyed")
 
 
 QUERIES = {

@@ -70,21 +70,30 @@ def start_console_job(
     ]
 
 
+def _bar_mode(final_bars: bool) -> str:
+    return "append" if final_bars else "update"
+
+
 def start_table_job(
     spark: SparkSession,
     trades: DataFrame,
     checkpoint: str,
     trades_table: str = "trades",
     bars_table: str = "vwap_bars",
+    final_bars: bool = False,
     once: bool = False,
 ) -> list[StreamingQuery]:
-    """Trades and bar versions to partitioned tables, which are created if absent."""
+    """Trades and bars to partitioned tables, which are created if absent.
+
+    By default a bar is stored anew in every batch that changes it. ``final_bars`` stores it
+    once, when the watermark has closed it.
+    """
     create_trades_table(spark, trades_table)
     create_bars_table(spark, bars_table)
     return [
         start(trades, "table_trades", "append", checkpoint,
               lambda w, _: w.foreachBatch(table_trade_writer(trades_table)), once),
-        start(vwap(trades), "table_bars", "update", checkpoint,
+        start(vwap(trades), "table_bars", _bar_mode(final_bars), checkpoint,
               lambda w, _: w.foreachBatch(table_bar_writer(bars_table)), once),
     ]
 
@@ -94,13 +103,14 @@ def start_keyed_job(
     metadata: DataFrame,
     path: str,
     checkpoint: str,
+    final_bars: bool = False,
     once: bool = False,
 ) -> list[StreamingQuery]:
     """Enriched trades and bars to keyed tables under ``path``."""
     return [
         start(trades, "keyed_trades", "append", checkpoint,
               lambda w, _: w.foreachBatch(keyed_trade_writer(metadata, f"{path}/trades")), once),
-        start(vwap(trades), "keyed_bars", "update", checkpoint,
+        start(vwap(trades), "keyed_bars", _bar_mode(final_bars), checkpoint,
               lambda w, _: w.foreachBatch(keyed_bar_writer(metadata, f"{path}/bars")), once),
     ]
 

@@ -14,15 +14,12 @@ def scratch_root(spark: SparkSession) -> str:
     Only a local session may fall back to a temporary folder of this machine, since its
     executors run here.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.gettempdir() + "/tickloom"
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return tempfile.gettempdir() + "/tickloom"
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -13,6 +13,7 @@ each sink defines what a repeat does:
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 import logging
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -28,10 +29,18 @@ log = logging.getLogger(__name__)
 BatchWriter = Callable[[DataFrame, int], None]
 
 
+def _property(batch: DataFrame, name: str) -> str | None:
+    return batch.sparkSession.sparkContext.getLocalProperty(name)
+
+
 def _query_id(batch: DataFrame) -> str:
     """Id of the running query. It lives in the checkpoint, so it survives restarts."""
-    context = batch.sparkSession.sparkContext
-    return context.getLocalProperty("sql.streaming.queryId") or "batch"
+    return _property(batch, "sql.streaming.queryId") or "batch"
+
+
+def _run_id(batch: DataFrame) -> str | None:
+    """Id of this start of the query: streams use it as their job group."""
+    return _property(batch, "spark.jobGroup.id")
 
 
 def _counted(batch: DataFrame) -> tuple[DataFrame, Observation]:
@@ -67,29 +76,51 @@ def create_bars_table(
     _create_table(spark, name, BARS_TABLE_COLUMNS, BARS_TABLE_PARTITIONS, location)
 
 
+def table_names(spark: SparkSession) -> list[str]:
+    return [table.name for table in spark.catalog.listTables()]
+
+
+def _already_stored(
+    rows: DataFrame, table: str, query_id: str, batch_id: int, within: str
+) -> bool:
+    """Whether a batch is in the table. The search is bounded to the days the batch covers in
+    the column ``within``, by partition or by file statistics."""
+    day = F.to_date(within)
+    low, high = rows.agg(F.min(day), F.max(day)).first()
+    if low is None:
+        return False
+    stored = rows.sparkSession.table(table).filter(
+        (F.col(within) >= F.lit(low)) & (F.col(within) < F.lit(high + timedelta(days=1)))
+        & (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id))
+    return not stored.isEmpty()
+
+
 def _append_writer(
-    table: str, columns: list[str], prepare: Callable[[DataFrame], DataFrame]
+    table: str,
+    columns: list[str],
+    within: str,
+    prepare: Callable[[DataFrame], DataFrame],
+    layout: Callable[[DataFrame], DataFrame],
 ) -> BatchWriter:
-    started: set[str] = set()
+    checked: set[str | None] = set()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        query_id = _query_id(batch)
-        if query_id not in started:
-            started.add(query_id)
-            # Parquet statistics on both columns let this read skip other batches' row groups.
-            stored = batch.sparkSession.table(table).filter(
-                (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id))
-            if not stored.isEmpty():
+        query_id, run_id = _query_id(batch), _run_id(batch)
+        rows = prepare(batch)
+        # Only the first batch of a run can be a repeat.
+        if run_id not in checked:
+            if _already_stored(rows, table, query_id, batch_id, within):
                 log.info("%s: batch %d is already stored", table, batch_id)
+                checked.add(run_id)
                 return
-        rows = (
-            prepare(batch)
-            .withColumn("ingested_at", F.current_timestamp())
+            checked.add(run_id)
+        stamped = (
+            rows.withColumn("ingested_at", F.current_timestamp())
             .withColumn("query_id", F.lit(query_id))
             .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         )
-        rows, seen = _counted(rows.select(*columns))
-        rows.write.insertInto(table)
+        counted, seen = _counted(layout(stamped.select(*columns)))
+        counted.write.insertInto(table)
         log.info("%s: batch %d appended %d rows", table, batch_id, seen.get["rows"])
 
     return write
@@ -101,11 +132,17 @@ def table_trade_writer(table: str = "trades", spread: int = 8) -> BatchWriter:
     Rows are shuffled so that a partition gets few files per batch; ``spread`` tasks share
     each symbol and day, so a symbol with most of the trades is not written by one task.
     """
-    def prepare(batch: DataFrame) -> DataFrame:
-        return batch.withColumn("trade_date", F.to_date("event_ts")).repartition(
-            F.col("symbol"), F.col("trade_date"), F.pmod(F.xxhash64("trade_id"), F.lit(spread)))
-
-    return _append_writer(table, [name for name, _ in TRADES_TABLE_COLUMNS], prepare)
+    def layout(rows: DataFrame) -> DataFrame:
+        share = F.pmod(F.xxhash64("trade_id"), F.lit(spread))
+        return rows.repartition(F.col("symbol"), F.col("trade_date"), share)
+
+    return _append_writer(
+        table,
+        [name for name, _ in TRADES_TABLE_COLUMNS],
+        "trade_date",
+        lambda batch: batch.withColumn("trade_date", F.to_date("event_ts")),
+        layout,
+    )
 
 
 def table_bar_writer(table: str = "vwap_bars") -> BatchWriter:
@@ -114,71 +151,109 @@ def table_bar_writer(table: str = "vwap_bars") -> BatchWriter:
     In update mode a bar arrives again in every batch that changes it. All versions are kept;
     ``operators.latest_bars`` reads the newest.
     """
-    return _append_writer(table, [name for name, _ in BARS_TABLE_COLUMNS], lambda batch: batch)
+    return _append_writer(
+        table,
+        [name for name, _ in BARS_TABLE_COLUMNS],
+        "window_start",
+        lambda batch: batch,
+        lambda rows: rows.repartition("symbol"),
+    )
 
 
 def version_writer(
     path: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     sort: str | None = None,
+    day: str | None = None,
 ) -> BatchWriter:
     """Write each batch to a folder of its own, replaced whole if the batch is repeated.
 
     The cost of a batch is the size of the batch: nothing that is already stored is rewritten.
     An empty batch leaves an empty file; probing for it first would run the batch twice.
+    ``sort`` orders rows within files, so that readers skip pages by that column, and ``day``,
+    a SQL expression for a time, splits the folder by date; neither needs a shuffle.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         folder = f"{path}/query_id={_query_id(batch)}/batch_id={batch_id}"
         rows, seen = _counted(prepare(batch).withColumn("ingested_at", F.current_timestamp()))
-        if sort:
-            # Sorted files let a reader skip pages by key without a shuffle on write.
-            rows = rows.sortWithinPartitions(sort)
-        rows.write.mode("overwrite").parquet(folder)
+        _write_sorted(rows, folder, sort, day, "overwrite")
         log.info("%s: batch %d wrote %d rows", path, batch_id, seen.get["rows"])
 
     return write
 
 
+def _write_sorted(
+    rows: DataFrame, folder: str, sort: str | None, day: str | None, mode: str
+) -> None:
+    by_day = [] if day is None else ["day"]
+    if by_day:
+        rows = rows.withColumn("day", F.to_date(F.expr(day)))
+    order = by_day + ([sort] if sort else [])
+    if order:
+        rows = rows.sortWithinPartitions(*order)
+    rows.write.mode(mode).partitionBy(*by_day).parquet(folder)
+
+
 def read_versions(spark: SparkSession, path: str) -> DataFrame:
     """Everything ``version_writer`` stored, with the batch that stored it."""
     return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
+TRADE_DAY = "timestamp_millis(trade_ts)"
+BAR_DAY = "window_start"
+
+
 def keyed_trade_writer(metadata: DataFrame, path: str) -> BatchWriter:
     """Put enriched trades by row key; the last write of a key wins."""
     return version_writer(
-        path, lambda batch: trade_cells(enrich_trades(batch, metadata)), "row_key")
+        path, lambda batch: trade_cells(enrich_trades(batch, metadata)), "row_key", TRADE_DAY)
 
 
 def keyed_bar_writer(metadata: DataFrame, path: str) -> BatchWriter:
     """Put enriched bars by row key; the last write of a key wins."""
     return version_writer(
-        path, lambda batch: bar_cells(enrich_bars(batch, metadata)), "row_key")
+        path, lambda batch: bar_cells(enrich_bars(batch, metadata)), "row_key", BAR_DAY)
 
 
-def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    """Current content of a keyed table: the newest version of every row key.
+def _read_keyed(spark: SparkSession, path: str, since: str | date | None, *keys: str):
+    """Newest version of every key. Filters on the keys pass below the window to the scan.
 
     Keys spread evenly whatever the symbols do, and a key has as many rows as it has versions.
-    The symbol is one of the keys so that a filter on it passes below the window and reaches
-    the scan.
     """
-    return newest_version(read_versions(spark, path), "symbol", "row_key").drop(
-        "query_id", "batch_id", "ingested_at")
+    versions = read_versions(spark, path)
+    if since is not None:
+        versions = versions.filter(F.col("day") >= F.lit(str(since)).cast("date"))
+    return newest_version(versions, *keys).drop("query_id", "batch_id", "ingested_at", "day")
+
+
+def read_keyed_trades(
+    spark: SparkSession, path: str, since: str | date | None = None
+) -> DataFrame:
+    """Current trades. ``since`` reads only trades of that UTC day and later."""
+    return _read_keyed(spark, path, since, "symbol", "row_key")
+
+
+def read_keyed_bars(
+    spark: SparkSession, path: str, since: str | date | None = None
+) -> DataFrame:
+    """Current bars. ``since`` reads only bars of that UTC day and later."""
+    return _read_keyed(spark, path, since, "symbol", "window_start", "row_key")
 
 
-def compact_keyed(spark: SparkSession, path: str, target: str) -> None:
+def compact_keyed(spark: SparkSession, path: str, target: str, day: str) -> None:
     """Write a keyed table's current content to a new place, range-partitioned by key.
 
-    Ranges of row keys split a large symbol over many files, and a key or a symbol is found
-    by file statistics. The folder names let ``read_keyed`` and later batches go on there.
+    ``day`` is ``TRADE_DAY`` or ``BAR_DAY``. Ranges of row keys split a large symbol over many
+    files, and a key or a symbol is found by file statistics. The folder names let readers and
+    later batches go on there.
     """
-    (
-        read_keyed(spark, path)
+    rows = (
+        _read_keyed(spark, path, None, "symbol", "row_key")
         .withColumn("ingested_at", F.current_timestamp())
-        .repartitionByRange("row_key").sortWithinPartitions("row_key")
-        .write.mode("errorifexists").parquet(f"{target}/query_id=compacted/batch_id=-1")
+        .repartitionByRange("row_key")
     )
+    folder = f"{target}/query_id=compacted/batch_id=-1"
+    _write_sorted(rows, folder, "row_key", day, "errorifexists")
 
 
 def land_frames(raw: DataFrame, path: str):
