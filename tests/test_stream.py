@@ -1,6 +1,9 @@
 """Streams fed one file per batch, and their agreement with the batch results."""
 
+import uuid
+
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from conftest import START_MS, frame
 from tickloom.operators import (
@@ -10,7 +13,8 @@ from tickloom.sources import file_frames, file_history, symbol_metadata, symbol_
 from tickloom.streaming import jobs
 from tickloom.streaming.main import options, run
 from tickloom.streaming.sinks import (
-    read_keyed_bars, read_keyed_trades, read_versions, version_writer,
+    create_trades_table, keyed_trade_writer, read_keyed_bars, read_keyed_trades,
+    read_versions, table_trade_writer, version_writer,
 )
 
 
@@ -157,3 +161,49 @@ def test_metadata_from_file_serves_the_keyed_job(spark, raw, tmp_path):
     row = read_keyed_trades(spark, str(tmp_path / "keyed/trades")).first()
     expected = symbol_metadata(spark).filter("symbol = 'BTCUSDT'").first()
     assert row.description == expected.description
+
+
+@pytest.mark.parametrize("kind", ["table", "keyed"])
+def test_batch_stored_but_not_committed_is_not_stored_twice(spark, raw, tmp_path, kind):
+    """The job dies between the write of a batch and its commit, and is started again."""
+    frames, keyed = str(tmp_path / "frames"), str(tmp_path / "keyed")
+    table = f"t_{uuid.uuid4().hex[:8]}"
+    if kind == "table":
+        create_trades_table(spark, table, str(tmp_path / "table"))
+
+    def writer():
+        return table_trade_writer(table) if kind == "table" else \
+            keyed_trade_writer(symbol_metadata(spark), keyed)
+
+    def start(write):
+        return jobs.start(parse_trades(file_frames(spark, frames)), "crash", "append",
+                          str(tmp_path / "c"), lambda w, _: w.foreachBatch(write), once=True)
+
+    def dies_after_writing(batch, batch_id):
+        writer()(batch, batch_id)
+        raise RuntimeError("lost")
+
+    raw(frame(1, trade_id=1), frame(2, trade_id=2)).write.parquet(frames)
+    start(writer()).awaitTermination()
+    raw(frame(3, trade_id=3), frame(4, trade_id=4)).write.mode("append").parquet(frames)
+    with pytest.raises(StreamingQueryException):
+        start(dies_after_writing).awaitTermination()
+    start(writer()).awaitTermination()
+    stored = spark.table(table) if kind == "table" else spark.read.parquet(keyed)
+    assert sorted(r.trade_id for r in stored.collect()) == [1, 2, 3, 4]
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_stream_can_drop_repeats(spark, raw, tmp_path):
+    frames = str(tmp_path / "frames")
+    raw(frame(1, trade_id=1), frame(1, trade_id=1)).write.parquet(frames)
+    trades = parse_trades(file_frames(spark, frames), deduplicate=True)
+    for more in ([], [frame(1, trade_id=1), frame(2, trade_id=2)]):
+        if more:
+            raw(*more).write.mode("append").parquet(frames)
+        query = jobs.start(
+            trades, "unique", "append", str(tmp_path / "c"),
+            lambda w, _: w.foreachBatch(version_writer(str(tmp_path / "out"))), once=True)
+        query.awaitTermination()
+    assert sorted(r.trade_id for r in read_versions(spark, str(tmp_path / "out")).collect()) \
+        == [1, 2]
