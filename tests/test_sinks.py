@@ -8,14 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import frame
-from tickloom.operators import latest_bars, parse_trades, vwap, vwap_range
+from tickloom.operators import latest_bars, newest_version, parse_trades, vwap, vwap_range
 from tickloom.schema import TRADES_TABLE_COLUMNS
 from tickloom.sources import file_frames, symbol_metadata
 from tickloom.streaming import jobs, scratch as scratch_module
 from tickloom.streaming.sinks import (
     compact_keyed, create_bars_table, create_trades_table, keyed_bar_writer,
-    keyed_trade_writer, read_keyed_bars, read_keyed_trades, table_bar_writer, table_names,
-    table_trade_writer, TRADE_DAY,
+    keyed_trade_writer, read_keyed_bars, read_keyed_trades, read_versions, table_bar_writer,
+    table_names, table_trade_writer, TRADE_DAY,
 )
 
 
@@ -149,6 +149,15 @@ def test_compaction_keeps_the_content_and_takes_further_batches(spark, trades, t
     assert {r.trade_id: r.price for r in read_keyed_trades(spark, new).collect()}[1] == 7.0
 
 
+def test_range_partitioning_serves_the_newest_version_too(spark, trades, tmp_path):
+    path = str(tmp_path / "k")
+    keyed_trade_writer(symbol_metadata(spark), path)(trades(frame()), 0)
+    ranged = read_versions(spark, path).repartitionByRange("row_key")
+    plan = newest_version(ranged, "symbol", "row_key")._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("Exchange rangepartitioning") == 1
+
+
 def test_table_job_creates_and_fills_both_tables(spark, raw, tmp_path):
     raw(frame(1), frame(61), frame(130)).write.parquet(str(tmp_path / "frames"))
     names = [f"j_{uuid.uuid4().hex[:8]}" for _ in range(2)]

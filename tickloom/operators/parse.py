@@ -2,23 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from tickloom.schema import FRAME_FIELDS, FRAME_SCHEMA
+from tickloom.schema import FRAME_FIELDS
 
 
-def parse_frames(raw: DataFrame) -> DataFrame:
+def parse_frames(raw: DataFrame, *columns: str) -> DataFrame:
     """Every frame, one column per field; a frame that is not JSON becomes a row of nulls.
 
+    ``columns`` limits the fields that are read; the parser skips the others.
+
     ``inline`` keeps the parse below any filter on its result. Selecting the struct and then
     filtering on one of its fields makes Catalyst push the filter down together with a second
     copy of ``from_json``, and every frame is parsed twice. The cast renames by position, so
     fields that differ only by case work under the default session settings.
     """
-    frame = F.from_json(F.col("value").cast("string"), FRAME_SCHEMA).cast(FRAME_FIELDS)
+    fields = [f for f in FRAME_FIELDS if not columns or f[1] in columns]
+    arrives = T.StructType([T.StructField(json, kind) for json, _, kind in fields])
+    renamed = T.StructType([T.StructField(name, kind) for _, name, kind in fields])
+    frame = F.from_json(F.col("value").cast("string"), arrives).cast(renamed)
     return raw.select(F.inline(F.array(frame)))
 
 
+TRADE_FIELDS = [
+    "event_type", "symbol", "trade_id", "price", "qty", "trade_ms", "buyer_is_maker",
+]
+
+
 def parse_trades(
     raw: DataFrame,
     lateness: str = "30 seconds",
@@ -33,7 +43,7 @@ def parse_trades(
     """
     columns = ["event_type"] if event_types else []
     trades = (
-        parse_frames(raw)
+        parse_frames(raw, *TRADE_FIELDS)
         .filter(F.col("event_type") == "trade")
         .select(
             *columns,
@@ -57,4 +67,5 @@ def parse_trades(
 
 def frame_type_counts(raw: DataFrame) -> DataFrame:
     """How many frames of each event type arrived; null is a frame without a type."""
-    return parse_frames(raw).groupBy("event_type").agg(F.count("*").alias("frames"))
+    frames = parse_frames(raw, "event_type")
+    return frames.groupBy("event_type").agg(F.count("*").alias("frames"))

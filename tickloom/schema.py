@@ -7,27 +7,21 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Exchange trade frame, as it arrives. Price and quantity are text.
-FRAME_SCHEMA = T.StructType([
-    T.StructField("e", T.StringType()),
-    T.StructField("E", T.LongType()),
-    T.StructField("s", T.StringType()),
-    T.StructField("t", T.LongType()),
-    T.StructField("p", T.StringType()),
-    T.StructField("q", T.StringType()),
-    T.StructField("b", T.LongType()),
-    T.StructField("a", T.LongType()),
-    T.StructField("T", T.LongType()),
-    T.StructField("m", T.BooleanType()),
-    T.StructField("M", T.BooleanType()),
-])
-
-# The same fields by position, under names that differ by more than their case.
-FRAME_FIELDS = (
-    "struct<event_type:string,event_ms:bigint,symbol:string,trade_id:bigint,"
-    "price:string,qty:string,buyer_order_id:bigint,seller_order_id:bigint,"
-    "trade_ms:bigint,buyer_is_maker:boolean,ignore_flag:boolean>"
-)
+# Exchange trade frame, as it arrives: JSON field, our name, type. Our names differ by more than
+# their case. Price and quantity are text. All fields may be missing.
+FRAME_FIELDS = [
+    ("e", "event_type", T.StringType()),
+    ("E", "event_ms", T.LongType()),
+    ("s", "symbol", T.StringType()),
+    ("t", "trade_id", T.LongType()),
+    ("p", "price", T.StringType()),
+    ("q", "qty", T.StringType()),
+    ("b", "buyer_order_id", T.LongType()),
+    ("a", "seller_order_id", T.LongType()),
+    ("T", "trade_ms", T.LongType()),
+    ("m", "buyer_is_maker", T.BooleanType()),
+    ("M", "ignore_flag", T.BooleanType()),
+]
 
 RAW_SCHEMA = T.StructType([T.StructField("value", T.BinaryType())])
 

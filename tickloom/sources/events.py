@@ -25,7 +25,7 @@ def frames_from_events(events: DataFrame) -> DataFrame:
         symbol = F.when(kind == event_type, name).otherwise(symbol)
         base = F.when(kind == event_type, price).otherwise(base)
     lots = F.get_json_object("props", "$.k").try_cast("int") + 1
-    # Zone-free: both ends are wall-clock UTC. Whole division, as in ``div``.
+    # Both ends are wall-clock times of a session in UTC.
     start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     elapsed_us = F.timestamp_diff("MICROSECOND", start, F.col("ts").cast("timestamp_ntz"))
     trade_ms = EPOCH_MS + F.floor(elapsed_us / (1000 * TIME_SQUEEZE))

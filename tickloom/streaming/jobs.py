@@ -117,6 +117,8 @@ def start_keyed_job(
 
 def await_any(spark: SparkSession, queries: list[StreamingQuery]) -> None:
     """Wait until one of the queries ends, then stop the others."""
-    spark.streams.awaitAnyTermination()
-    for query in queries:
-        query.stop()
+    try:
+        spark.streams.awaitAnyTermination()
+    finally:
+        for query in queries:
+            query.stop()

@@ -7,6 +7,7 @@ connector on the class path. Options default to environment variables of the sam
 from __future__ import annotations
 
 import argparse
+import logging
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +23,11 @@ from tickloom.streaming.scratch import scratch_root
 from tickloom.streaming.sinks import land_frames
 
 
-def session(name: str, hive: bool = False) -> SparkSession:
-    """State lives in RocksDB, off the heap, with incremental uploads to the checkpoint."""
+def session(name: str, hive: bool = False, partitions: int | None = None) -> SparkSession:
+    """State lives in RocksDB, off the heap, with incremental uploads to the checkpoint.
+
+    ``partitions`` is the number of state partitions. A checkpoint fixes it for good.
+    """
     builder = (
         SparkSession.builder.appName(name)
         .config("spark.sql.session.timeZone", "UTC")
@@ -32,6 +36,8 @@ def session(name: str, hive: bool = False) -> SparkSession:
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
+    if partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", partitions)
     return (builder.enableHiveSupport() if hive else builder).getOrCreate()
 
 
@@ -51,6 +57,7 @@ def options(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--bars-table", default="vwap_bars")
     parser.add_argument("--final-bars", action="store_true")
     parser.add_argument("--hive", action="store_true", help="keep tables in a Hive catalog")
+    parser.add_argument("--partitions", type=int, help="state partitions of a new checkpoint")
     parser.add_argument("--once", action="store_true", help="stop when caught up")
     return parser.parse_args(arguments)
 
@@ -80,8 +87,10 @@ def run(spark: SparkSession, opts: argparse.Namespace) -> list:
 
 
 def main() -> None:
+    logging.basicConfig(level=logging.INFO)
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     opts = options()
-    spark = session(f"tickloom-{opts.job}", opts.hive)
+    spark = session(f"tickloom-{opts.job}", opts.hive, opts.partitions)
     queries = run(spark, opts)
     if opts.once:
         for query in queries:

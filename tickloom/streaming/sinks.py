@@ -215,6 +215,10 @@ def keyed_bar_writer(metadata: DataFrame, path: str) -> BatchWriter:
         path, lambda batch: bar_cells(enrich_bars(batch, metadata)), "row_key", BAR_DAY)
 
 
+def _newest(versions: DataFrame, *keys: str) -> DataFrame:
+    return newest_version(versions, *keys).drop("query_id", "batch_id", "ingested_at", "day")
+
+
 def _read_keyed(spark: SparkSession, path: str, since: str | date | None, *keys: str):
     """Newest version of every key. Filters on the keys pass below the window to the scan.
 
@@ -223,7 +227,7 @@ def _read_keyed(spark: SparkSession, path: str, since: str | date | None, *keys:
     versions = read_versions(spark, path)
     if since is not None:
         versions = versions.filter(F.col("day") >= F.lit(str(since)).cast("date"))
-    return newest_version(versions, *keys).drop("query_id", "batch_id", "ingested_at", "day")
+    return _newest(versions, *keys)
 
 
 def read_keyed_trades(
@@ -247,11 +251,10 @@ def compact_keyed(spark: SparkSession, path: str, target: str, day: str) -> None
     files, and a key or a symbol is found by file statistics. The folder names let readers and
     later batches go on there.
     """
-    rows = (
-        _read_keyed(spark, path, None, "symbol", "row_key")
-        .withColumn("ingested_at", F.current_timestamp())
-        .repartitionByRange("row_key")
-    )
+    # Ranges of the key also bring its versions together, so one shuffle serves both.
+    versions = read_versions(spark, path).repartitionByRange("row_key")
+    rows = _newest(versions, "symbol", "row_key").withColumn(
+        "ingested_at", F.current_timestamp())
     folder = f"{target}/query_id=compacted/batch_id=-1"
     _write_sorted(rows, folder, "row_key", day, "errorifexists")
 
