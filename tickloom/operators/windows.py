@@ -174,13 +174,19 @@ def ohlcv(trades: DataFrame, width: int = 60) -> DataFrame:
 def order_flow_imbalance(trades: DataFrame, width: int = 60, slide: int = 30) -> DataFrame:
     """Extension: buy against sell volume per sliding window, from -1 to 1."""
     def volume(side: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("side") == side, F.col("volume"))), F.lit(0.0))
+        return F.sum(F.when(F.col("side") == side, F.col("qty_d")).otherwise(0.0))
 
     buy, sell = F.col("buy_volume"), F.col("sell_volume")
     return (
-        velocity(trades, width, slide)
-        .groupBy("window_start", "window_end", "symbol")
-        .agg(volume("BUY").alias("buy_volume"), volume("SELL").alias("sell_volume"))
+        trades.groupBy(_window("event_ts", width, slide), "symbol")
+        .agg(volume("BUY").alias("buy"), volume("SELL").alias("sell"))
+        .select(
+            F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
+            "symbol",
+            _round("buy", 6).alias("buy_volume"),
+            _round("sell", 6).alias("sell_volume"),
+        )
         .withColumn("imbalance", F.round(F.try_divide(buy - sell, buy + sell), 4))
     )
 

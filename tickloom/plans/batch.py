@@ -35,13 +35,13 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.trade_cells(op.enrich_trades(trades(spark, sf_dir), symbol_metadata(spark)))
 
 
-def stored_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bars written out and read back, for reads that pass over them more than once.
+def stored(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Rows written out and read back, for a query that passes over them more than once.
 
     Computing them anew for each pass would parse every frame again.
     """
-    path = scratch(spark, "bars")
-    bars(spark, sf_dir).write.parquet(path)
+    path = scratch(spark, name)
+    rows.write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -159,7 +159,7 @@ def summary(spark, sf_dir):
 
 
 def symbol_card(spark, sf_dir):
-    t = trades(spark, sf_dir)
+    t = stored(spark, trades(spark, sf_dir), "trades")
     return op.symbol_card(
         op.vwap(t), t, tracked_symbols(spark), symbol_metadata(spark), AS_OF)
 
@@ -170,7 +170,7 @@ def pair_info(spark, sf_dir):
 
 
 def price_series(spark, sf_dir):
-    return op.price_series(stored_bars(spark, sf_dir))
+    return op.price_series(stored(spark, bars(spark, sf_dir), "bars"))
 
 
 def price_axis(spark, sf_dir):
@@ -178,7 +178,7 @@ def price_axis(spark, sf_dir):
 
 
 def volume_share(spark, sf_dir):
-    return op.volume_share(stored_bars(spark, sf_dir))
+    return op.volume_share(stored(spark, bars(spark, sf_dir), "bars"))
 
 
 def volume_labels(spark, sf_dir):
@@ -189,7 +189,7 @@ def trade_display(spark, sf_dir):
     return op.trade_display(recent_trades(spark, sf_dir))
 
 
-def _stored(spark, name, create, writer, rows) -> str:
+def _in_table(spark, name, create, writer, rows) -> str:
     table = f"tickloom_{name}_{uuid.uuid4().hex[:12]}"
     create(spark, table, scratch(spark, name))
     writer(table)(rows, 0)
@@ -197,7 +197,7 @@ def _stored(spark, name, create, writer, rows) -> str:
 
 
 def latest_trades_sql(spark, sf_dir):
-    table = _stored(
+    table = _in_table(
         spark, "trades", create_trades_table, table_trade_writer, trades(spark, sf_dir))
     return spark.sql(f"""
         SELECT trade_id, event_ts, price_d, qty_d, notional, side, symbol, trade_date
@@ -208,7 +208,7 @@ def latest_trades_sql(spark, sf_dir):
 
 
 def latest_bars_sql(spark, sf_dir):
-    table = _stored(spark, "bars", create_bars_table, table_bar_writer, bars(spark, sf_dir))
+    table = _in_table(spark, "bars", create_bars_table, table_bar_writer, bars(spark, sf_dir))
     return spark.sql(f"""
         SELECT window_start, vwap_usd, trade_count
         FROM {table} WHERE symbol = 'ETHUSDT'
