@@ -70,17 +70,20 @@ def test_empty_batches_are_harmless(spark, trades, table):
     assert spark.table(table).count() == 0
 
 
-def test_large_symbol_is_written_by_several_tasks(spark, trades, table):
+@pytest.mark.parametrize("setting", [
+    ("spark.sql.adaptive.enabled", "false"),
+    ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k"),
+])
+def test_large_symbol_is_written_by_several_tasks(spark, trades, table, setting):
     create_trades_table(spark, table)
-    batch = trades(*[frame(1, trade_id=i) for i in range(200)])
-    # So few rows would be merged into one task again.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    batch = trades(*[frame(1, trade_id=i) for i in range(400)])
+    spark.conf.set(*setting)
     try:
         table_trade_writer(table, spread=4)(batch, 0)
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    files = spark.table(table).select(F.input_file_name()).distinct().count()
-    assert 1 < files <= 4
+        spark.conf.unset(setting[0])
+    assert spark.table(table).count() == 400
+    assert spark.table(table).select(F.input_file_name()).distinct().count() > 1
 
 
 def test_bar_versions_and_latest(spark, trades, table):

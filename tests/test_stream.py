@@ -13,8 +13,8 @@ from tickloom.sources import file_frames, file_history, symbol_metadata, symbol_
 from tickloom.streaming import jobs
 from tickloom.streaming.main import options, run
 from tickloom.streaming.sinks import (
-    create_trades_table, keyed_trade_writer, read_keyed_bars, read_keyed_trades,
-    read_versions, table_trade_writer, version_writer,
+    create_bars_table, create_trades_table, keyed_trade_writer, read_keyed_bars,
+    read_keyed_trades, read_versions, table_bar_writer, table_trade_writer, version_writer,
 )
 
 
@@ -163,34 +163,40 @@ def test_metadata_from_file_serves_the_keyed_job(spark, raw, tmp_path):
     assert row.description == expected.description
 
 
-@pytest.mark.parametrize("kind", ["table", "keyed"])
+@pytest.mark.parametrize("kind", ["trades table", "bars table", "keyed trades"])
 def test_batch_stored_but_not_committed_is_not_stored_twice(spark, raw, tmp_path, kind):
     """The job dies between the write of a batch and its commit, and is started again."""
     frames, keyed = str(tmp_path / "frames"), str(tmp_path / "keyed")
     table = f"t_{uuid.uuid4().hex[:8]}"
-    if kind == "table":
-        create_trades_table(spark, table, str(tmp_path / "table"))
-
-    def writer():
-        return table_trade_writer(table) if kind == "table" else \
-            keyed_trade_writer(symbol_metadata(spark), keyed)
-
-    def start(write):
-        return jobs.start(parse_trades(file_frames(spark, frames)), "crash", "append",
-                          str(tmp_path / "c"), lambda w, _: w.foreachBatch(write), once=True)
+    create, writer, build, mode = {
+        "trades table": (create_trades_table, table_trade_writer, lambda t: t, "append"),
+        "bars table": (create_bars_table, table_bar_writer, vwap, "update"),
+        "keyed trades": (None, lambda _: keyed_trade_writer(symbol_metadata(spark), keyed),
+                         lambda t: t, "append"),
+    }[kind]
+    if create:
+        create(spark, table, str(tmp_path / "table"))
+
+    def run_once(write):
+        trades = parse_trades(file_frames(spark, frames))
+        jobs.start(build(trades), "crash", mode, str(tmp_path / "c"),
+                   lambda w, _: w.foreachBatch(write), once=True).awaitTermination()
 
     def dies_after_writing(batch, batch_id):
-        writer()(batch, batch_id)
+        writer(table)(batch, batch_id)
         raise RuntimeError("lost")
 
-    raw(frame(1, trade_id=1), frame(2, trade_id=2)).write.parquet(frames)
-    start(writer()).awaitTermination()
-    raw(frame(3, trade_id=3), frame(4, trade_id=4)).write.mode("append").parquet(frames)
+    raw(frame(1, trade_id=1), frame(61, trade_id=2)).write.parquet(frames)
+    run_once(writer(table))
+    raw(frame(121, trade_id=3), frame(181, trade_id=4)).write.mode("append").parquet(frames)
     with pytest.raises(StreamingQueryException):
-        start(dies_after_writing).awaitTermination()
-    start(writer()).awaitTermination()
-    stored = spark.table(table) if kind == "table" else spark.read.parquet(keyed)
-    assert sorted(r.trade_id for r in stored.collect()) == [1, 2, 3, 4]
+        run_once(dies_after_writing)
+    run_once(writer(table))
+    stored = spark.table(table) if create else spark.read.parquet(keyed)
+    if kind == "bars table":
+        assert bar_counts(stored) == {0: 1, 60: 1, 120: 1, 180: 1} and stored.count() == 4
+    else:
+        assert sorted(r.trade_id for r in stored.collect()) == [1, 2, 3, 4]
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 

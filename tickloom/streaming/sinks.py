@@ -107,7 +107,8 @@ def _append_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         query_id, run_id = _query_id(batch), _run_id(batch)
         rows = prepare(batch)
-        # Only the first batch of a run can be a repeat.
+        # Only the first batch of a run can be a repeat. The check reads the whole batch, as a
+        # stateful stream demands of every batch.
         if run_id not in checked:
             if _already_stored(rows, table, query_id, batch_id, within):
                 log.info("%s: batch %d is already stored", table, batch_id)
@@ -129,10 +130,13 @@ def _append_writer(
 def table_trade_writer(table: str = "trades", spread: int = 8) -> BatchWriter:
     """Append trades to a table partitioned by symbol and date.
 
-    Rows are shuffled so that a partition gets few files per batch; ``spread`` tasks share
-    each symbol and day, so a symbol with most of the trades is not written by one task.
+    Rows are shuffled so that a partition gets few files per batch, yet a symbol with most of
+    the trades is not written by one task: adaptive execution splits it by size, and without
+    that ``spread`` tasks share each symbol and day.
     """
     def layout(rows: DataFrame) -> DataFrame:
+        if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            return rows.hint("rebalance", *TRADES_TABLE_PARTITIONS)
         share = F.pmod(F.xxhash64("trade_id"), F.lit(spread))
         return rows.repartition(F.col("symbol"), F.col("trade_date"), share)
 
