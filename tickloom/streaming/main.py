@@ -48,6 +48,8 @@ def options(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--kafka", default=env("KAFKA_BOOTSTRAP_SERVERS", "localhost:9092"))
     parser.add_argument("--topic", default=env("KAFKA_TOPIC", "trades-raw"))
     parser.add_argument("--files", help="read landed frames from a folder, not from Kafka")
+    parser.add_argument("--max-files", type=int, help="files per batch when catching up")
+    parser.add_argument("--max-offsets", type=int, help="records per batch when catching up")
     parser.add_argument("--output", default=env("OUTPUT_DIR"), help="keyed tables, bronze folder")
     parser.add_argument("--checkpoint", default=env("CHECKPOINT_DIR"))
     parser.add_argument("--metadata", default=env("SYMBOL_METADATA_PATH"))
@@ -67,8 +69,8 @@ def run(spark: SparkSession, opts: argparse.Namespace) -> list:
     root = scratch_root(spark) if not (opts.checkpoint and opts.output) else ""
     checkpoint = opts.checkpoint or f"{root}/{opts.job}-checkpoints"
     output = opts.output or f"{root}/{opts.job}"
-    raw = file_frames(spark, opts.files) if opts.files else \
-        kafka_frames(spark, opts.kafka, opts.topic)
+    raw = file_frames(spark, opts.files, opts.max_files) if opts.files else \
+        kafka_frames(spark, opts.kafka, opts.topic, max_offsets=opts.max_offsets)
     if opts.job == "land":
         writer = land_frames(raw, output).option("checkpointLocation", f"{checkpoint}/land")
         return [(writer.trigger(availableNow=True) if opts.once else writer).start()]
