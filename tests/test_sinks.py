@@ -70,6 +70,13 @@ def test_empty_batches_are_harmless(spark, trades, table):
     assert spark.table(table).count() == 0
 
 
+def test_rows_are_counted_while_they_are_written(spark, trades, table, caplog):
+    create_trades_table(spark, table)
+    with caplog.at_level("INFO", "tickloom.streaming.sinks"):
+        table_trade_writer(table)(trades(frame(1), frame(2), "junk"), 7)
+    assert caplog.messages == [f"{table}: batch 7 appended 2 rows"]
+
+
 @pytest.mark.parametrize("setting", [
     ("spark.sql.adaptive.enabled", "false"),
     ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k"),

@@ -128,6 +128,19 @@ def test_console_job_runs_four_named_queries(spark, raw, tmp_path, capfd):
     assert {p.name for p in (tmp_path / "checkpoints").iterdir()} == set(jobs.CONSOLE_ROWS)
 
 
+def test_all_queries_stop_when_one_does(spark, raw, tmp_path):
+    raw(frame()).write.parquet(str(tmp_path / "frames"))
+    spark.streams.resetTerminated()
+    running = jobs.start_console_job(
+        parse_trades(file_frames(spark, str(tmp_path / "frames"))), symbol_reference(spark),
+        str(tmp_path / "c"), sink=lambda w, _: w.format("noop"))
+    for query in running:
+        query.processAllAvailable()
+    running[2].stop()
+    jobs.await_any(spark, running)
+    assert not any(query.isActive for query in running)
+
+
 def test_job_runner_lands_then_replays(spark, raw, tmp_path):
     texts = [*sample(), "junk", frame(e="24hrTicker")]
     raw(*texts).write.parquet(str(tmp_path / "topic"))

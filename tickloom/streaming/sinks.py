@@ -8,6 +8,9 @@ each sink defines what a repeat does:
   each key, so a repeat changes nothing;
 * plain tables: rows are appended, and the first batch after a (re)start is skipped if its
   rows are already there.
+
+Batches are told apart by the query's id and the batch id. A caller who uses a writer outside
+a stream must therefore give every batch an id of its own.
 """
 
 from __future__ import annotations
