@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as driver
 from oracle import connect, differences
+from tickloom import plans
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = plans.queries(), plans.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,10 @@ def test_every_query_has_sql():
     assert QUERIES.keys() == SQL.keys()
 
 
+def test_driver_registers_every_query():
+    assert QUERIES.keys() <= driver.queries().keys() and SQL.keys() <= driver.oracle_sql().keys()
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
