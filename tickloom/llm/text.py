@@ -11,7 +11,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -65,7 +65,7 @@ class Prefix:
     def __init__(self, buf: np.ndarray):
         power, self.inverse = powers(len(buf) + 1)
         self.sums = np.zeros(len(buf) + 1, np.uint64)
-        np.cumsum(_BYTE[buf] * power[:-1], out=self.sums[1:])
+        np.cumsum(BYTE[buf] * power[:-1], out=self.sums[1:])
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Not yet mixed; equal ranges agree wherever they lie."""
