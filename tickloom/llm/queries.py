@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tickloom.llm import language
 from tickloom.llm.near_dup import near_duplicates
 from tickloom.llm.store import ready
 from tickloom.llm.suffix_dedup import remove_repeats
@@ -24,7 +25,14 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    known = language.profiles(docs.where("doc_id is not null").where(~language.held_out()))
+    return language.identify(docs, known).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op6_rank_order_language": op6_rank_order_language,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
