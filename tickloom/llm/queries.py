@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm import language
 from tickloom.llm.near_dup import near_duplicates
+from tickloom.llm.packing import pack_documents
 from tickloom.llm.store import ready
 from tickloom.llm.suffix_dedup import remove_repeats
 
@@ -31,7 +33,18 @@ def op6_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, known).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Documents in sequences of 2048, by the 50k byte-level vocabulary; its one special token is read as such."""
+    return pack_documents(
+        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, {"<|endoftext|>": 50256})
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op6_rank_order_language": op6_rank_order_language,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,

@@ -26,7 +26,12 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def ready(spark: SparkSession) -> None:
-    """Let Python workers import this package also where it is not installed."""
+    """Let Python workers import this package also where it is not installed, and bound their batches.
+
+    Rows here are whole texts: a batch of ten thousand, the default, can be larger than a worker's memory.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(":") if p]
     if ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = ":".join([ROOT, *paths])
