@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickloom.llm import language
 from tickloom.llm.near_dup import near_duplicates
 from tickloom.llm.packing import pack_documents
+from tickloom.llm.pii import Detector, detect
 from tickloom.llm.store import ready
 from tickloom.llm.suffix_dedup import remove_repeats
 
@@ -43,7 +44,13 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op2_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return detect(docs, Detector().fit(docs))
+
+
 QUERIES = {
+    "op2_pii_boosting": op2_pii_boosting,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_rank_order_language": op6_rank_order_language,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
