@@ -184,7 +184,7 @@ class Detector:
         matches = [strict(t) for t in texts]
         proposed = [candidates(t, m) for t, m in zip(texts, matches)]
         x = [features(t, *c) for t, own in zip(texts, proposed) for c in own]
-        score = self.probability(np.array(x, float).reshape(len(x), -1))
+        score = self.probability(np.array(x, float)) if x else np.zeros(0)
         out, k = [], 0
         for own, found in zip(proposed, matches):
             rated = score[k:k + len(own)]
