@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import language
+from tickloom.llm import bpe_automaton, language
 from tickloom.llm.near_dup import near_duplicates
 from tickloom.llm.packing import pack_documents
 from tickloom.llm.pii import Detector, detect
@@ -49,7 +49,12 @@ def op2_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect(docs, Detector().fit(docs))
 
 
+def op7_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_automaton.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
+    "op7_bpe_automaton": op7_bpe_automaton,
     "op2_pii_boosting": op2_pii_boosting,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_rank_order_language": op6_rank_order_language,
