@@ -9,6 +9,7 @@ from tickloom.llm import bpe_automaton, language
 from tickloom.llm.near_dup import near_duplicates
 from tickloom.llm.packing import pack_documents
 from tickloom.llm.pii import Detector, detect
+from tickloom.llm.quality import judge
 from tickloom.llm.store import ready
 from tickloom.llm.suffix_dedup import remove_repeats
 
@@ -53,7 +54,12 @@ def op7_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op1_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op1_risk_controlled_quality": op1_risk_controlled_quality,
     "op7_bpe_automaton": op7_bpe_automaton,
     "op2_pii_boosting": op2_pii_boosting,
     "op3_best_fit_packing": op3_best_fit_packing,
