@@ -12,6 +12,7 @@ from tickloom.llm.pii import Detector, detect
 from tickloom.llm.quality import judge
 from tickloom.llm.store import ready
 from tickloom.llm.suffix_dedup import remove_repeats
+from tickloom.llm.topk import search
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,7 +59,12 @@ def op1_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op10_maxscore_top_k": op10_maxscore_top_k,
     "op1_risk_controlled_quality": op1_risk_controlled_quality,
     "op7_bpe_automaton": op7_bpe_automaton,
     "op2_pii_boosting": op2_pii_boosting,
@@ -68,4 +74,22 @@ QUERIES = {
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_maxscore_top_k": """
+        WITH parts AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), flat AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM parts),
+        scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+            FROM flat q JOIN flat c ON q.d = c.d AND q.vec_id <> c.vec_id
+            WHERE q.vec_id % 100 = 0 GROUP BY ALL
+        ), ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                vec_id, score FROM scores
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+}
