@@ -13,6 +13,7 @@ from tickloom.llm.quality import judge
 from tickloom.llm.store import ready
 from tickloom.llm.suffix_dedup import remove_repeats
 from tickloom.llm.topk import search
+from tickloom.llm.warc import archived
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,7 +64,12 @@ def op10_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"))
 
 
+def op5_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op5_warc_capture_index": op5_warc_capture_index,
     "op10_maxscore_top_k": op10_maxscore_top_k,
     "op1_risk_controlled_quality": op1_risk_controlled_quality,
     "op7_bpe_automaton": op7_bpe_automaton,
