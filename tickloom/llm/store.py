@@ -40,9 +40,12 @@ def ready(spark: SparkSession) -> None:
 class Workspace:
     """A fresh shared folder of one run. ``save`` writes a table there and reads it again.
 
-    A saved table cuts the lineage: a lost executor repeats at most the step after it.
+    A saved table cuts the lineage: a lost executor repeats at most the step after it. The shuffle files behind it are
+    of no more use then, and go at once.
     """
 
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
     def __init__(self, spark: SparkSession, name: str):
         ready(spark)
         self.spark = spark
@@ -50,7 +53,12 @@ class Workspace:
 
     def save(self, frame: DataFrame, name: str) -> DataFrame:
         path = f"{self.path}/{name}"
-        frame.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(self.CLEANUP, "false")
+        self.spark.conf.set(self.CLEANUP, "true")
+        try:
+            frame.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(self.CLEANUP, before)
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def drop(self, name: str) -> None:

@@ -7,9 +7,10 @@ array of its anchors (one position in 85), in the order of the grams' fingerprin
 against every level for grams in common, and two levels of one size merge into the next, so n batches leave at most
 log2(n) + 1 arrays.
 
-The suffixes behind shared grams are then fetched and sorted by their bytes. Around one anchor, for each offset of a
-string before it, equal strings are those in one interval of the common-prefix array with equal bytes to the left. A
-gram with more than ``MOST`` places is dealt out by document: each part finds its own repeats and passes on one copy of
+Anchors with equal contexts, all bytes that a string through them can reach, by fingerprint, are repeats as far as
+these go. For one of each such class, and all others, the suffixes are fetched and sorted by their bytes. Around one
+anchor, for each offset of a string before it, equal strings are those in one interval of the common-prefix array with
+equal bytes to the left. A gram with more than ``MOST`` contexts is dealt out by document: each part finds its own repeats and passes on one copy of
 every string, and the parts' strings are counted together.
 
 Defined cases: null text is empty, and a text shorter than ``length`` loses nothing; a document is compared with itself
@@ -29,64 +30,72 @@ from tickloom.llm.store import Workspace
 from tickloom.llm.text import BYTE, Prefix, mix, pieces, powers, raw
 
 GRAM = 32
-#: Places of one gram that are compared in one task; more are dealt out.
+#: Contexts of one gram that are compared in one task; more are dealt out.
 MOST = 512
 SEGMENT = 1 << 22
 _LOW = np.uint64((1 << 24) - 1)
 
 
-def anchors(buf: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Anchor positions in ``buf`` and their grams' fingerprints; rows lie between the offsets ``at``."""
+def anchors(buf: np.ndarray, ranges: list[tuple[int, int]], length: int) -> tuple[np.ndarray, np.ndarray, Prefix]:
+    """Anchor positions of the strings that start in ``ranges``, all grams' fingerprints, and those of the bytes."""
     width = length - GRAM + 1
     n = len(buf) - GRAM + 1
-    if n < width:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    place = np.arange(n)
     prefix = Prefix(buf)
-    power = prefix.inverse[:n]
-    grams = mix((prefix.sums[GRAM:] - prefix.sums[:n]) * power)
-    packed = (grams & ~_LOW) | place.astype(np.uint64)
+    if n < width:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), prefix
+    grams = mix((prefix.sums[GRAM:] - prefix.sums[:n]) * prefix.inverse[:n])
     blocks = -(-n // width)
-    padded = np.full(blocks * width, ~np.uint64(0))
-    padded[:n] = packed
-    padded = padded.reshape(blocks, width)
-    ahead = np.minimum.accumulate(padded, axis=1).ravel()
-    behind = np.minimum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
+    packed = np.full(blocks * width, ~np.uint64(0))
+    packed[:n] = (grams & ~_LOW) | np.arange(n, dtype=np.uint64)
+    packed = packed.reshape(blocks, width)
+    ahead = np.minimum.accumulate(packed, axis=1).ravel()
+    behind = np.minimum.accumulate(packed[:, ::-1], axis=1)[:, ::-1].ravel()
     windows = n - width + 1
     least = np.minimum(behind[:windows], ahead[width - 1:width - 1 + windows])
-    inside = np.zeros(windows + 1, np.int32)
-    for low, high in zip(at[:-1].tolist(), at[1:].tolist()):
-        if high - low >= length:
+    inside = np.zeros(windows + 1, np.int8)
+    for low, high in ranges:
+        if high > low:
             inside[low] += 1
-            inside[high - length + 1] -= 1
-    least = least[np.cumsum(inside[:-1]) > 0]
-    where = (least & _LOW).astype(np.int64)
-    where = where[np.flatnonzero(np.diff(where, prepend=-1))] if len(where) else where
-    return where, grams[where]
+            inside[high] -= 1
+    where = (least[np.cumsum(inside[:-1], dtype=np.int8) > 0] & _LOW).astype(np.int64)
+    return where[np.flatnonzero(np.diff(where, prepend=-1))], grams, prefix
 
 
-def _segments(buf: np.ndarray, at: np.ndarray, length: int):
-    """(first row, row count, offset in its row, bytes, offsets); a very long row comes in overlapping parts."""
-    for low, high in pieces(at):
-        if at[high] - at[low] <= SEGMENT:
-            yield low, high - low, 0, buf[at[low]:at[high]], at[low:high + 1] - at[low]
-            continue
-        for begin in range(0, int(at[high] - at[low]), SEGMENT):
-            part = buf[at[low] + begin:min(at[low] + begin + SEGMENT + length - 1, at[high])]
-            yield low, 1, begin, part, np.array([0, len(part)])
+def _found(buf: np.ndarray, at: np.ndarray, ranges: list, length: int) -> tuple[np.ndarray, ...]:
+    """Row, place in the row, gram and whole context's fingerprint of each anchor."""
+    where, grams, prefix = anchors(buf, ranges, length)
+    row = np.searchsorted(at, where, "right") - 1
+    low = np.maximum(at[row], where - (length - GRAM))
+    high = np.minimum(at[row + 1], where + length)
+    around = mix(prefix(low, high) ^ mix((where - low).astype(np.uint64)))
+    return row, where - at[row], grams[where] if len(where) else grams[:0], around
 
 
 def _anchor_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = length - GRAM
         for batch in batches:
             buf, at = raw(batch.column(1))
             ids = batch.column(0).to_numpy()
-            for row, count, begin, part, own in _segments(buf, at, length):
-                where, grams = anchors(part, own, length)
-                index = np.searchsorted(own, where, "right") - 1
+            for low, high in pieces(at):
+                if at[high] - at[low] <= SEGMENT:
+                    own = at[low:high + 1] - at[low]
+                    ranges = [(s, e - length + 1) for s, e in zip(own[:-1].tolist(), own[1:].tolist())]
+                    row, place, grams, around = _found(buf[at[low]:at[high]], own, ranges, length)
+                else:  # one very long row, in parts that overlap by all that an anchor's context can hold
+                    parts, size = [], int(at[high] - at[low])
+                    for begin in range(0, size - length + 1, SEGMENT):
+                        start, end = max(0, begin - left), min(size, begin + SEGMENT + left + length)
+                        strings = min(begin + SEGMENT, size - length + 1)
+                        part = _found(buf[at[low] + start:at[low] + end], np.array([0, end - start]),
+                                      [(begin - start, strings - start)], length)
+                        parts.append((part[0], part[1] + start, part[2], part[3]))
+                    row, place, grams, around = (np.concatenate(c) for c in zip(*parts))
+                    place, first = np.unique(place, return_index=True)
+                    row, grams, around = row[first], grams[first], around[first]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams.view(np.int64)), pa.array(ids[row + index]), pa.array(where - own[index] + begin)],
-                    ["gram", "doc_id", "place"])
+                    [pa.array(grams.view(np.int64)), pa.array(around.view(np.int64)), pa.array(ids[low + row]),
+                     pa.array(place)], ["gram", "around", "doc_id", "place"])
 
     return run
 
@@ -106,7 +115,7 @@ class SuffixFamily:
         self.batches += 1
         name = f"array_{self.batches}"
         rows = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(
-            _anchor_rows(self.length), "gram long, doc_id long, place long")
+            _anchor_rows(self.length), "gram long, around long, doc_id long, place long")
         new = self.space.save(rows.sortWithinPartitions("gram"), name)
         places = new.select("gram", F.lit(1).alias("new"))
         for _, _, level in self.levels:
@@ -131,15 +140,14 @@ class SuffixFamily:
         self.space.drop(b)
 
     def candidates(self) -> DataFrame:
-        """Every anchor whose gram has another place: gram, doc_id, place, places."""
-        shared = self.shared[0]
+        """Every anchor whose gram has another place: gram, around, doc_id, place."""
+        shared = self.shared[0].select("gram")
         for more in self.shared[1:]:
-            shared = shared.unionByName(more)
-        shared = shared.groupBy("gram").agg(F.max("places").alias("places"))
+            shared = shared.unionByName(more.select("gram"))
         level = self.levels[0][2]
         for _, _, more in self.levels[1:]:
             level = level.unionByName(more)
-        return level.join(shared, "gram")
+        return level.join(shared.distinct(), "gram")
 
 
 def _contexts(length: int):
@@ -306,24 +314,34 @@ def repeated_spans(docs: DataFrame, length: int = 200, batches: int = 3) -> Data
     family = SuffixFamily(spark, length)
     for k in range(batches):
         family.insert(docs.where(F.pmod(F.hash("doc_id"), F.lit(batches)) == k))
-    found = family.candidates()
-    parts = F.ceil(F.col("places") / MOST).cast("int")
-    dealt = found.select(
+    left = length - GRAM
+    found = family.space.save(family.candidates(), "candidates")
+    contexts = found.groupBy("gram", "around").agg(
+        F.count("*").alias("copies"), F.min(F.struct("doc_id", "place")).alias("first"))
+    kinds = contexts.groupBy("gram").agg(F.count("*").alias("kinds"))
+    contexts = family.space.save(contexts.join(kinds, "gram"), "contexts")
+    placed = family.space.save(found.join(contexts, ["gram", "around"]), "placed")
+    family.space.drop("candidates")
+    family.space.drop("contexts")
+    alike = placed.where("copies > 1").select(
+        "doc_id", F.greatest(F.col("place") - left, F.lit(0)).alias("start"), (F.col("place") + length).alias("end"))
+    parts = F.ceil(F.col("kinds") / MOST).cast("int")
+    dealt = placed.where("kinds > 1 and (copies = 1 or first = struct(doc_id, place))").select(
         "doc_id", F.struct("place", "gram", F.pmod(F.hash("doc_id", "place"), parts).alias("part"), parts.alias("parts")).alias("anchor"))
     wanted = dealt.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
-    contexts = (
+    fetched = (
         docs.select("doc_id", "text").join(wanted, "doc_id")
         .mapInArrow(_contexts(length), "gram long, part int, parts int, doc_id long, place long, before int, bytes binary")
         .repartition("gram", "part").sortWithinPartitions("gram", "part")
     )
     shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
     scanned = family.space.save(
-        contexts.mapInArrow(_scan(length, shares), "doc_id long, start long, end long, share int, strings binary"), "scanned")
+        fetched.mapInArrow(_scan(length, shares), "doc_id long, start long, end long, share int, strings binary"), "scanned")
     several = (
         scanned.where("share is not null").select("share", "strings").repartition("share").sortWithinPartitions("share")
         .mapInArrow(_count_strings(length), "doc_id long, start long, end long")
     )
-    spans = scanned.where("share is null").select("doc_id", "start", "end").unionByName(several)
+    spans = scanned.where("share is null").select("doc_id", "start", "end").unionByName(several).unionByName(alike)
     return spans.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 

@@ -49,7 +49,7 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)), at
 
 
-def pieces(at: np.ndarray, most: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def pieces(at: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Ranges of rows with at most this many bytes, or of one row."""
     low, n = 0, len(at) - 1
     while low < n:
