@@ -158,31 +158,38 @@ def profiles(labelled: DataFrame, size: int = SIZE) -> list[tuple[str, np.ndarra
     return [(lang, np.array([c for _, c in sorted(rows)], np.int64).view(np.uint64)) for lang, rows in sorted(found.items())]
 
 
+def _scored(texts: list[str], known: list[tuple[str, np.ndarray]], union: np.ndarray, ranks: np.ndarray, size: int) -> Iterator[tuple[str, float]]:
+    grams = Grams(texts)
+    for row in range(len(texts)):
+        own = grams.profile(row, size) if known else union
+        if not len(own):
+            yield UNKNOWN, 0.0
+            continue
+        at = np.searchsorted(union, own)
+        at[at < len(union)] = np.where(union[at[at < len(union)]] == own[at < len(union)], at[at < len(union)], len(union))
+        place = ranks[at]
+        far = np.where(place < 0, size, np.abs(place - np.arange(len(own))[:, None])).sum(0)
+        best = int(far.argmin())
+        rest = np.delete(far, best)
+        second = rest.min() if len(rest) else size * len(own)
+        yield known[best][0], float(second / max(1, second + far[best]))
+
+
+def _ranked(known: list[tuple[str, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """All profiles' codes in order, and the rank of each in each language, or -1."""
+    union = np.unique(np.concatenate([c for _, c in known])) if known else np.zeros(0, np.uint64)
+    ranks = np.full((len(union) + 1, len(known)), -1, np.int64)
+    for k, (_, codes) in enumerate(known):
+        ranks[np.searchsorted(union, codes), k] = np.arange(len(codes))
+    return union, ranks
+
+
 def _predict(known: list[tuple[str, np.ndarray]], size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [lang for lang, _ in known]
-        union = np.unique(np.concatenate([c for _, c in known])) if known else np.zeros(0, np.uint64)
-        ranks = np.full((len(union) + 1, len(known)), -1, np.int64)
-        for k, (_, codes) in enumerate(known):
-            ranks[np.searchsorted(union, codes), k] = np.arange(len(codes))
+        union, ranks = _ranked(known)
         for batch in batches:
-            langs, scores = [], []
-            for _, texts in _texts(batch.column(1)):
-                grams = Grams(texts)
-                for row in range(len(texts)):
-                    own = grams.profile(row, size) if known else union
-                    if not len(own):
-                        langs.append(UNKNOWN), scores.append(0.0)
-                        continue
-                    at = np.searchsorted(union, own)
-                    at[at < len(union)] = np.where(union[at[at < len(union)]] == own[at < len(union)], at[at < len(union)], len(union))
-                    place = ranks[at]
-                    far = np.where(place < 0, size, np.abs(place - np.arange(len(own))[:, None])).sum(0)
-                    best = int(far.argmin())
-                    langs.append(names[best])
-                    rest = np.delete(far, best)
-                    second = rest.min() if len(rest) else size * len(own)
-                    scores.append(float(second / max(1, second + far[best])))
+            found = [x for _, texts in _texts(batch.column(1)) for x in _scored(texts, known, union, ranks, size)]
+            langs, scores = [x for x, _ in found], [x for _, x in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
@@ -197,6 +204,20 @@ def identify(docs: DataFrame, known: list[tuple[str, np.ndarray]], size: int = S
     return docs.select("doc_id", "text").mapInArrow(_predict(known, size), "doc_id long, lang_pred string, score double")
 
 
+def accepted(docs: DataFrame, known: list[tuple[str, np.ndarray]], least: float = 0.505, size: int = SIZE) -> DataFrame:
+    """The rows of ``docs`` in a language that is known, told from the others with a score of ``least``."""
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        union, ranks = _ranked(known)
+        for batch in batches:
+            keep = [lang != UNKNOWN and score >= least
+                    for _, texts in _texts(batch.column(place)) for lang, score in _scored(texts, known, union, ranks, size)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out():
     """Whether a document belongs to the fold that is not learned from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -356,6 +356,19 @@ def merged(spans: np.ndarray) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
+def _gone(spans: pa.Scalar, size: int) -> tuple[np.ndarray, int]:
+    """Which bytes of a document its spans cover, and in how many runs."""
+    gone = np.zeros(size, bool)
+    if not spans.is_valid:
+        return gone, 0
+    flat = spans.values
+    rows = merged(np.stack([flat.field("start").to_numpy(), flat.field("end").to_numpy()], 1))
+    rows = [(s, e) for s, e in rows if s < size]
+    for s, e in rows:
+        gone[s:e] = True
+    return gone, len(rows)
+
+
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         buf, at = raw(batch.column(1))
@@ -363,17 +376,8 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         removed, runs, kept = [], [], []
         for k in range(batch.num_rows):
             own = buf[at[k]:at[k + 1]]
-            spans = lists[k]
-            if not spans.is_valid:
-                removed.append(0), runs.append(0), kept.append(own.tobytes())
-                continue
-            flat = spans.values
-            rows = merged(np.stack([flat.field("start").to_numpy(), flat.field("end").to_numpy()], 1))
-            rows = [(s, min(e, len(own))) for s, e in rows if s < len(own)]
-            gone = np.zeros(len(own), bool)
-            for s, e in rows:
-                gone[s:e] = True
-            removed.append(int(gone.sum())), runs.append(len(rows)), kept.append(own[~gone].tobytes())
+            gone, n = _gone(lists[k], len(own))
+            removed.append(int(gone.sum())), runs.append(n), kept.append(own[~gone].tobytes())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(np.diff(at)), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()),
              pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
@@ -384,3 +388,23 @@ def remove_repeats(docs: DataFrame, length: int = 200, batches: int = 3) -> Data
     spans = repeated_spans(docs, length, batches)
     return docs.select("doc_id", "text").join(spans, "doc_id", "left").mapInArrow(
         _kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+
+
+def cut_repeats(docs: DataFrame, length: int = 200, batches: int = 3) -> DataFrame:
+    """``docs`` with repeated strings cut from ``text``; of a sign that is cut in part nothing stays. Null stays null."""
+    place, width = docs.columns.index("text"), len(docs.columns)
+    spans = repeated_spans(docs, length, batches).withColumnRenamed("spans", "repeated spans")
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            buf, at = raw(batch.column(place))
+            lists, texts = batch.column(width), []
+            for k, text in enumerate(batch.column(place)):
+                own = buf[at[k]:at[k + 1]]
+                kept = own[~_gone(lists[k], len(own))[0]] if lists[k].is_valid else own
+                texts.append(kept.tobytes().decode("utf-8", "ignore") if text.is_valid else None)
+            rest = pa.RecordBatch.from_arrays(batch.columns[:width], schema=pa.schema(list(batch.schema)[:width]))
+            yield rest.set_column(place, batch.schema.field(place).name, pa.array(texts, pa.string()))
+
+    joined = docs.join(spans, docs["doc_id"] == spans["doc_id"], "left").select(*(docs[c] for c in docs.columns), "repeated spans")
+    return joined.mapInArrow(run, docs.schema)
