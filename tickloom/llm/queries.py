@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickloom.llm import bpe_automaton, language
 from tickloom.llm.near_dup import near_duplicates
 from tickloom.llm.packing import pack_documents
+from tickloom.llm.passages import passage_classes
 from tickloom.llm.pii import Detector, detect
 from tickloom.llm.quality import judge
 from tickloom.llm.store import ready
@@ -68,7 +69,12 @@ def op5_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages"))
 
 
+def op4_compact_window_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op4_compact_window_passages": op4_compact_window_passages,
     "op5_warc_capture_index": op5_warc_capture_index,
     "op10_maxscore_top_k": op10_maxscore_top_k,
     "op1_risk_controlled_quality": op1_risk_controlled_quality,
