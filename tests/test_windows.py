@@ -193,9 +193,26 @@ def test_rolling_day_against_brute_force(spark):
         assert found[(symbol, at)] == (max(seen), min(seen) - 1)
 
 
-def test_aggregates_have_a_partial_step_and_one_shuffle(sample_trades):
-    for frame_ in (vwap(sample_trades), velocity(sample_trades)):
+def test_aggregates_have_a_partial_step_and_shuffle_trades_once(sample_trades):
+    """A second shuffle of velocity has panes, not trades."""
+    for frame_, shuffles in ((vwap(sample_trades), 1), (velocity(sample_trades), 2)):
         plan = frame_._jdf.queryExecution().sparkPlan().toString()
         assert "partial_sum" in plan and "SortAggregate" not in plan
         executed = frame_._jdf.queryExecution().executedPlan().toString()
-        assert executed.count("Exchange hashpartitioning") == 1
+        assert executed.count("Exchange hashpartitioning") == shuffles
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_open_and_close_need_no_sort(trades):
+    plan = plan_of(ohlcv(trades(frame(1), frame(2))))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("aggregate", [velocity, order_flow_imbalance])
+def test_panes_are_copied_and_not_trades(trades, aggregate):
+    plan = plan_of(aggregate(trades(frame(1), frame(2))))
+    assert plan.index("Expand") < plan.rindex("HashAggregate")
+    assert "Expand" not in plan[plan.rindex("HashAggregate"):]

@@ -62,15 +62,27 @@ def whales(trades: DataFrame, threshold: float = 50000.0) -> DataFrame:
     )
 
 
+def _sliding_sums(
+    trades: DataFrame, width: int, slide: int, keys: list[str], sums: dict[str, Column]
+) -> DataFrame:
+    """Counts and sums per sliding window: of panes one slide wide, which are copied into windows
+    in place of trades. A stream in update mode cannot aggregate its own updates, so it copies
+    trades."""
+    named = [value.alias(name) for name, value in sums.items()]
+    if trades.isStreaming or width % slide:
+        return trades.groupBy(_window("event_ts", width, slide), *keys).agg(*named)
+    panes = trades.groupBy(_window("event_ts", slide).alias("pane"), *keys).agg(*named)
+    return (
+        panes.withColumn("window", _window("pane.start", width, slide))
+        .groupBy("window", *keys).agg(*(F.sum(name).alias(name) for name in sums))
+    )
+
+
 def velocity(trades: DataFrame, width: int = 60, slide: int = 30) -> DataFrame:
     """Sliding count, volume and notional per symbol and aggressor side."""
+    sums = {"trade_count": F.count("*"), "q": F.sum("qty_d"), "n": F.sum("notional")}
     return (
-        trades.groupBy(_window("event_ts", width, slide), "symbol", "side")
-        .agg(
-            F.count("*").alias("trade_count"),
-            F.sum("qty_d").alias("q"),
-            F.sum("notional").alias("n"),
-        )
+        _sliding_sums(trades, width, slide, ["symbol", "side"], sums)
         .select(
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),
@@ -145,8 +157,15 @@ def _moving_stats(trades: DataFrame, width: int, slide: int) -> DataFrame:
 
 
 def ohlcv(trades: DataFrame, width: int = 60) -> DataFrame:
-    """Extension: bar with open and close, ordered by event time and then trade id."""
-    order = F.struct("event_ts", "trade_id")
+    """Extension: bar with open and close, ordered by event time and then trade id.
+
+    The order is one number of fixed width, so that the aggregate is by hash and sorts nothing. A
+    trade without an id comes first in its microsecond.
+    """
+    order = (
+        F.unix_micros("event_ts").cast("decimal(18,0)") * F.lit("1" + "0" * 19).cast("decimal(20,0)")
+        + F.coalesce("trade_id", F.lit(-1)).cast("decimal(19,0)")
+    )
     return (
         trades.groupBy(_window("event_ts", width), "symbol")
         .agg(
@@ -177,9 +196,9 @@ def order_flow_imbalance(trades: DataFrame, width: int = 60, slide: int = 30) ->
         return F.sum(F.when(F.col("side") == side, F.col("qty_d")).otherwise(0.0))
 
     buy, sell = F.col("buy_volume"), F.col("sell_volume")
+    sums = {"buy": volume("BUY"), "sell": volume("SELL")}
     return (
-        trades.groupBy(_window("event_ts", width, slide), "symbol")
-        .agg(volume("BUY").alias("buy"), volume("SELL").alias("sell"))
+        _sliding_sums(trades, width, slide, ["symbol"], sums)
         .select(
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),
