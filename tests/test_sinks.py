@@ -1,21 +1,24 @@
 """Writers called as a micro-batch would call them."""
 
+import subprocess
+import sys
 import tempfile
+import textwrap
 from types import SimpleNamespace
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import frame
-from tickloom.operators import latest_bars, newest_version, parse_trades, vwap, vwap_range
+from conftest import ROOT, frame
+from tickloom.operators import last_write, latest_bars, newest_version, parse_trades, vwap, vwap_range
 from tickloom.schema import TRADES_TABLE_COLUMNS
 from tickloom.sources import file_frames, symbol_metadata
-from tickloom.streaming import jobs, scratch as scratch_module
+from tickloom.streaming import jobs, scratch as scratch_module, sinks
 from tickloom.streaming.sinks import (
     compact_keyed, create_bars_table, create_trades_table, keyed_bar_writer,
-    keyed_trade_writer, read_keyed_bars, read_keyed_trades, read_versions, table_bar_writer,
-    table_names, table_trade_writer, TRADE_DAY,
+    keyed_trade_writer, read_keyed_bars, read_keyed_trades, read_rejects, read_versions,
+    table_bar_writer, table_names, table_trade_writer, TRADE_DAY,
 )
 
 
@@ -86,7 +89,7 @@ def test_large_symbol_is_written_by_several_tasks(spark, trades, table, setting)
     batch = trades(*[frame(1, trade_id=i) for i in range(400)])
     spark.conf.set(*setting)
     try:
-        table_trade_writer(table, spread=4)(batch, 0)
+        table_trade_writer(table)(batch, 0)
     finally:
         spark.conf.unset(setting[0])
     assert spark.table(table).count() == 400
@@ -168,6 +171,102 @@ def test_range_partitioning_serves_the_newest_version_too(spark, trades, tmp_pat
     assert plan.count("Exchange") == plan.count("Exchange rangepartitioning") == 1
 
 
+def _store(spark, table, writer, create, full, keep, batch_id=5):
+    """Store part of a batch, replay it whole by a new writer, and return the table's rows."""
+    create(spark, table)
+    writer(table)(full, batch_id - 1)
+    writer(table)(full.filter(keep), batch_id)
+    writer(table)(full, batch_id)
+    writer(table)(full, batch_id)
+    return spark.table(table).filter(F.col("batch_id") == batch_id)
+
+
+def test_half_committed_trades_are_completed(spark, trades, table):
+    full = trades(*[frame(i * 3600, trade_id=i) for i in range(10)], frame(trade_id=99, T="bad"))
+    stored = _store(spark, table, table_trade_writer, create_trades_table, full, "trade_id < 3")
+    assert sorted(r.trade_id for r in stored.collect()) == [*range(10), 99]
+    assert spark.table(table).count() == 22
+
+
+def test_half_committed_bars_are_completed(spark, trades, table):
+    full = vwap(trades(*[frame(i * 60, symbol=s) for i in range(5) for s in ("A", "B")]))
+    stored = _store(spark, table, table_bar_writer, create_bars_table, full, "symbol = 'A'")
+    assert stored.count() == 10
+
+
+def test_trades_without_time_are_stored_once(spark, trades, table):
+    batch = trades(frame(T="bad"))
+    stored = _store(spark, table, table_trade_writer, create_trades_table, batch, "true")
+    assert stored.count() == 1
+
+
+def test_trades_without_a_key_are_all_kept(spark, trades, tmp_path):
+    path = str(tmp_path / "k")
+    batch = trades(frame(1, t="bad"), frame(2, t="bad"), frame(3, trade_id=3), frame(4, s=None))
+    keyed_trade_writer(symbol_metadata(spark), path)(batch, 0)
+    assert [r.trade_id for r in read_keyed_trades(spark, path).collect()] == [3]
+    assert read_rejects(spark, path).count() == 3
+
+
+def test_keyed_tables_of_empty_batches_are_empty(spark, trades, tmp_path):
+    meta, nothing = symbol_metadata(spark), trades("junk")
+    keyed_trade_writer(meta, str(tmp_path / "t"))(nothing, 0)
+    keyed_bar_writer(meta, str(tmp_path / "b"))(vwap(nothing), 0)
+    assert read_keyed_trades(spark, str(tmp_path / "t")).count() == 0
+    assert read_keyed_bars(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_the_last_batch_wins_whatever_the_clock_said(spark):
+    rows = [("q", 2, 10, "new"), ("q", 1, 99, "old"), ("compacted", -1, 500, "oldest")]
+    versions = spark.createDataFrame(rows, "query_id string, batch_id long, at int, v string") \
+        .withColumn("k", F.lit("k")).withColumn("ingested_at", F.timestamp_seconds("at"))
+    assert [r.v for r in last_write(versions, "k").collect()] == ["new"]
+    later = versions.union(versions.limit(0)).unionByName(spark.createDataFrame(
+        [("r", 0, 200, "later", "k")], "query_id string, batch_id long, at int, v string, k string")
+        .withColumn("ingested_at", F.timestamp_seconds("at")))
+    assert [r.v for r in last_write(later, "k").collect()] == ["later"]
+
+
+def test_compaction_fails_if_a_batch_arrives_meanwhile(spark, trades, tmp_path, monkeypatch):
+    old, meta = str(tmp_path / "k"), symbol_metadata(spark)
+    keyed_trade_writer(meta, old)(trades(frame(trade_id=1)), 0)
+    write = sinks._write_sorted
+
+    def and_another(*args):
+        write(*args)
+        monkeypatch.setattr(sinks, "_write_sorted", write)
+        keyed_trade_writer(meta, old)(trades(frame(trade_id=2)), 1)
+
+    monkeypatch.setattr(sinks, "_write_sorted", and_another)
+    with pytest.raises(RuntimeError):
+        compact_keyed(spark, old, str(tmp_path / "c"), TRADE_DAY)
+
+
+def test_table_job_goes_on_in_another_process(tmp_path):
+    """Two processes, one checkpoint, catalogs in memory: the second adds what has arrived."""
+    script = textwrap.dedent(f"""
+        import sys
+        from pyspark.sql import functions as F
+        sys.path[:0] = [{ROOT!r}, {ROOT + '/tests'!r}]
+        from conftest import ROOT, frame
+        from tickloom.streaming import main
+        spark = main.session("t", partitions=2)
+        spark.sparkContext.setLogLevel("ERROR")
+        n = int(sys.argv[1])
+        spark.createDataFrame([(bytearray(frame(i, trade_id=i), "utf8"),) for i in range(n, n + 5)],
+                              "value binary").write.mode("append").parquet("{tmp_path}/frames")
+        opts = main.options(["tables", "--files", "{tmp_path}/frames", "--checkpoint", "{tmp_path}/c",
+                             "--output", "{tmp_path}/out", "--once"])
+        for query in main.run(spark, opts):
+            query.awaitTermination()
+        print("ROWS", spark.table("trades").count(), spark.table("vwap_bars").count())
+    """)
+    said = [
+        subprocess.run([sys.executable, "-c", script, n], cwd=tmp_path, capture_output=True,
+                       text=True, timeout=200).stdout.split("ROWS ")[-1].strip() for n in ("0", "5")]
+    assert said == ["5 1", "10 2"]
+
+
 def test_table_job_creates_and_fills_both_tables(spark, raw, tmp_path):
     raw(frame(1), frame(61), frame(130)).write.parquet(str(tmp_path / "frames"))
     names = [f"j_{uuid.uuid4().hex[:8]}" for _ in range(2)]

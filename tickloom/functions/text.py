@@ -12,8 +12,8 @@ def zfill(number: Column, width: int) -> Column:
 
 
 def row_key(symbol: Column, number: Column, width: int) -> Column:
-    """``SYMBOL#000…n``: sorts as text in the order of (symbol, n)."""
-    return F.concat_ws("#", symbol, zfill(number, width))
+    """``SYMBOL#000…n``: sorts as text in the order of (symbol, n). Null if either part is."""
+    return F.concat(symbol, F.lit("#"), zfill(number, width))
 
 
 def known(text: Column) -> Column:

@@ -139,6 +139,21 @@ def newest_version(versions: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def last_write(versions: DataFrame, *keys: str) -> DataFrame:
+    """The last write of each key, by batch and not by clock.
+
+    Batches of one query follow their ids. Of two queries the one that first wrote the key later
+    is the later one, and compacted rows come before any batch.
+    """
+    first = F.min("ingested_at").over(Window.partitionBy(*keys, "query_id"))
+    newest_first = Window.partitionBy(*keys).orderBy(
+        F.col("batch_id") < 0, F.desc("first"), F.desc("batch_id"))
+    return (
+        versions.withColumn("first", first)
+        .withColumn("rn", F.row_number().over(newest_first)).filter("rn = 1").drop("rn", "first")
+    )
+
+
 def latest_bars(versions: DataFrame) -> DataFrame:
     """Newest version of each bar. A bar has one version per batch that changed it."""
     return newest_version(versions, "symbol", "window_start")

@@ -86,3 +86,21 @@ BARS_TABLE_COLUMNS = [
     ("symbol", "string"),
 ]
 BARS_TABLE_PARTITIONS = ["symbol"]
+
+_NAMED = {"string": T.StringType(), "bigint": T.LongType(), "double": T.DoubleType(), "timestamp": T.TimestampType()}
+
+
+def _columns(text: str) -> T.StructType:
+    pairs = [column.split() for column in text.split(", ")]
+    return T.StructType([T.StructField(name, _NAMED[kind]) for name, kind in pairs])
+
+
+_ENRICHED = ", asset_category string, market_cap_tier string"
+KEYED_TRADES = _columns(
+    "row_key string, symbol string, trade_id bigint, price double, qty double, notional double, "
+    "side string, trade_ts bigint, base_asset string, quote_asset string" + _ENRICHED
+    + ", description string")
+KEYED_BARS = _columns(
+    "row_key string, symbol string, window_start timestamp, window_end timestamp, vwap_usd double, "
+    "total_volume double, total_notional_usd double, trade_count bigint, low_usd double, "
+    "high_usd double" + _ENRICHED)

@@ -82,14 +82,17 @@ def start_table_job(
     bars_table: str = "vwap_bars",
     final_bars: bool = False,
     once: bool = False,
+    location: str | None = None,
 ) -> list[StreamingQuery]:
     """Trades and bars to partitioned tables, which are created if absent.
 
+    Without a persistent catalog a restarted job finds its tables only by ``location``, a folder
+    for both. With one it can be left out.
     By default a bar is stored anew in every batch that changes it. ``final_bars`` stores it
     once, when the watermark has closed it.
     """
-    create_trades_table(spark, trades_table)
-    create_bars_table(spark, bars_table)
+    create_trades_table(spark, trades_table, location and f"{location}/{trades_table}")
+    create_bars_table(spark, bars_table, location and f"{location}/{bars_table}")
     return [
         start(trades, "table_trades", "append", checkpoint,
               lambda w, _: w.foreachBatch(table_trade_writer(trades_table)), once),

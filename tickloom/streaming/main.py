@@ -50,7 +50,7 @@ def options(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--files", help="read landed frames from a folder, not from Kafka")
     parser.add_argument("--max-files", type=int, help="files per batch when catching up")
     parser.add_argument("--max-offsets", type=int, help="records per batch when catching up")
-    parser.add_argument("--output", default=env("OUTPUT_DIR"), help="keyed tables, bronze folder")
+    parser.add_argument("--output", default=env("OUTPUT_DIR"), help="tables, bronze folder")
     parser.add_argument("--checkpoint", default=env("CHECKPOINT_DIR"))
     parser.add_argument("--metadata", default=env("SYMBOL_METADATA_PATH"))
     parser.add_argument("--threshold", type=float,
@@ -66,13 +66,15 @@ def options(arguments: list[str] | None = None) -> argparse.Namespace:
 
 def run(spark: SparkSession, opts: argparse.Namespace) -> list:
     """Start the job's queries."""
-    root = scratch_root(spark) if not (opts.checkpoint and opts.output) else ""
-    checkpoint = opts.checkpoint or f"{root}/{opts.job}-checkpoints"
-    output = opts.output or f"{root}/{opts.job}"
+    checkpoint = opts.checkpoint or f"{scratch_root(spark)}/{opts.job}-checkpoints"
+
+    def output() -> str:
+        return opts.output or f"{scratch_root(spark)}/{opts.job}"
+
     raw = file_frames(spark, opts.files, opts.max_files) if opts.files else \
         kafka_frames(spark, opts.kafka, opts.topic, max_offsets=opts.max_offsets)
     if opts.job == "land":
-        writer = land_frames(raw, output).option("checkpointLocation", f"{checkpoint}/land")
+        writer = land_frames(raw, output()).option("checkpointLocation", f"{checkpoint}/land")
         return [(writer.trigger(availableNow=True) if opts.once else writer).start()]
     trades: DataFrame = parse_trades(raw)
     if opts.job == "console":
@@ -81,11 +83,11 @@ def run(spark: SparkSession, opts: argparse.Namespace) -> list:
     if opts.job == "tables":
         return start_table_job(
             spark, trades, checkpoint, opts.trades_table, opts.bars_table,
-            opts.final_bars, opts.once)
+            opts.final_bars, opts.once, None if opts.hive else output())
     metadata = load_symbol_metadata(spark, opts.metadata, cache=True) if opts.metadata \
         else symbol_metadata(spark)
     return start_keyed_job(
-        trades, metadata, output, checkpoint, opts.final_bars, opts.once)
+        trades, metadata, output(), checkpoint, opts.final_bars, opts.once)
 
 
 def main() -> None:

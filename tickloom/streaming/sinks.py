@@ -6,8 +6,9 @@ each sink defines what a repeat does:
 
 * keyed tables: a batch owns one folder and overwrites it, readers take the newest version of
   each key, so a repeat changes nothing;
-* plain tables: rows are appended, and the first batch after a (re)start is skipped if its
-  rows are already there.
+* plain tables: rows are appended. The first batch after a (re)start is looked for in the table:
+  if all its rows are there it is skipped, and if a failed commit left a part of it, that part's
+  files, which hold no other batch, are deleted first.
 
 Batches are told apart by the query's id and the batch id. A caller who uses a writer outside
 a stream must therefore give every batch an id of its own.
@@ -20,11 +21,13 @@ from datetime import date, timedelta
 import logging
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.operators.enrich import bar_cells, enrich_bars, enrich_trades, trade_cells
-from tickloom.operators.serving import newest_version
+from tickloom.operators.serving import last_write
 from tickloom.schema import (
-    BARS_TABLE_COLUMNS, BARS_TABLE_PARTITIONS, TRADES_TABLE_COLUMNS, TRADES_TABLE_PARTITIONS,
+    BARS_TABLE_COLUMNS, BARS_TABLE_PARTITIONS, KEYED_BARS, KEYED_TRADES, TRADES_TABLE_COLUMNS,
+    TRADES_TABLE_PARTITIONS,
 )
 
 log = logging.getLogger(__name__)
@@ -46,10 +49,11 @@ def _run_id(batch: DataFrame) -> str | None:
     return _property(batch, "spark.jobGroup.id")
 
 
-def _counted(batch: DataFrame) -> tuple[DataFrame, Observation]:
+def _counted(batch: DataFrame, key: str | None = None) -> tuple[DataFrame, Observation]:
     """Count rows while they are written, instead of running the batch a second time."""
     seen = Observation()
-    return batch.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    keyless = F.count_if(F.col(key).isNull() if key else F.lit(False))
+    return batch.observe(seen, F.count(F.lit(1)).alias("rows"), keyless.alias("keyless")), seen
 
 
 def _create_table(
@@ -59,12 +63,21 @@ def _create_table(
     partitions: list[str],
     location: str | None,
 ) -> None:
+    """Create a table if absent. One with a location finds what an earlier session stored there."""
     body = ", ".join(f"{column} {kind}" for column, kind in columns)
     at = f"LOCATION '{location}'" if location else ""
+    known = spark.catalog.tableExists(name)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING parquet "
         f"OPTIONS (compression 'snappy') PARTITIONED BY ({', '.join(partitions)}) {at}"
     )
+    if location and not known and _exists(spark, location):
+        spark.catalog.recoverPartitions(name)
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def create_trades_table(
@@ -83,19 +96,32 @@ def table_names(spark: SparkSession) -> list[str]:
     return [table.name for table in spark.catalog.listTables()]
 
 
-def _already_stored(
+def _stored(
     rows: DataFrame, table: str, query_id: str, batch_id: int, within: str
-) -> bool:
-    """Whether a batch is in the table. The search is bounded to the days the batch covers in
-    the column ``within``, by partition or by file statistics."""
+) -> tuple[int, DataFrame]:
+    """Size of a batch, and what the table has of it.
+
+    The search is bounded to the days the batch covers in the column ``within``, by partition or
+    by file statistics, and to rows without one.
+    """
     day = F.to_date(within)
-    low, high = rows.agg(F.min(day), F.max(day)).first()
-    if low is None:
-        return False
-    stored = rows.sparkSession.table(table).filter(
-        (F.col(within) >= F.lit(low)) & (F.col(within) < F.lit(high + timedelta(days=1)))
-        & (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id))
-    return not stored.isEmpty()
+    size, low, high = rows.agg(F.count(F.lit(1)), F.min(day), F.max(day)).first()
+    days = F.col(within).isNull()
+    if low is not None:
+        days |= (F.col(within) >= F.lit(low)) & (F.col(within) < F.lit(high + timedelta(days=1)))
+    return size, rows.sparkSession.table(table).filter(
+        days & (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id))
+
+
+def _delete_part(stored: DataFrame, table: str) -> None:
+    """Delete the files of a batch that was stored in part: as many as its tasks wrote."""
+    spark = stored.sparkSession
+    files = [row.file for row in stored.select(F.col("_metadata.file_path").alias("file")).distinct().collect()]
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for file in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        path.getFileSystem(conf).delete(path, False)
+    spark.catalog.refreshTable(table)
 
 
 def _append_writer(
@@ -113,7 +139,13 @@ def _append_writer(
         # Only the first batch of a run can be a repeat. The check reads the whole batch, as a
         # stateful stream demands of every batch.
         if run_id not in checked:
-            if _already_stored(rows, table, query_id, batch_id, within):
+            size, stored = _stored(rows, table, query_id, batch_id, within)
+            found = stored.count()
+            if found != size:
+                if found:
+                    log.warning("%s: batch %d has %d of %d rows; replaced", table, batch_id, found, size)
+                    _delete_part(stored, table)
+            elif size:
                 log.info("%s: batch %d is already stored", table, batch_id)
                 checked.add(run_id)
                 return
@@ -130,25 +162,27 @@ def _append_writer(
     return write
 
 
-def table_trade_writer(table: str = "trades", spread: int = 8) -> BatchWriter:
-    """Append trades to a table partitioned by symbol and date.
+def _spread(rows: DataFrame, share: str, *by: str) -> DataFrame:
+    """Few files a partition and batch, yet no partition's rows in one task.
 
-    Rows are shuffled so that a partition gets few files per batch, yet a symbol with most of
-    the trades is not written by one task: adaptive execution splits it by size, and without
-    that ``spread`` tasks share each symbol and day.
+    Adaptive execution splits partitions by size. Streams with state run without it; there as
+    many tasks share a partition as the session has shuffle partitions.
     """
-    def layout(rows: DataFrame) -> DataFrame:
-        if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-            return rows.hint("rebalance", *TRADES_TABLE_PARTITIONS)
-        share = F.pmod(F.xxhash64("trade_id"), F.lit(spread))
-        return rows.repartition(F.col("symbol"), F.col("trade_date"), share)
+    conf = rows.sparkSession.conf
+    if conf.get("spark.sql.adaptive.enabled") == "true":
+        return rows.hint("rebalance", *by)
+    tasks = int(conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(*by, F.pmod(F.xxhash64(share), F.lit(tasks)))
+
 
+def table_trade_writer(table: str = "trades") -> BatchWriter:
+    """Append trades to a table partitioned by symbol and date."""
     return _append_writer(
         table,
         [name for name, _ in TRADES_TABLE_COLUMNS],
         "trade_date",
         lambda batch: batch.withColumn("trade_date", F.to_date("event_ts")),
-        layout,
+        lambda rows: _spread(rows, "trade_id", *TRADES_TABLE_PARTITIONS),
     )
 
 
@@ -156,14 +190,14 @@ def table_bar_writer(table: str = "vwap_bars") -> BatchWriter:
     """Append bar versions to a table partitioned by symbol.
 
     In update mode a bar arrives again in every batch that changes it. All versions are kept;
-    ``operators.latest_bars`` reads the newest.
+    ``operators.latest_bars`` reads the newest. A symbol's backlog is written by day.
     """
     return _append_writer(
         table,
         [name for name, _ in BARS_TABLE_COLUMNS],
         "window_start",
         lambda batch: batch,
-        lambda rows: rows.repartition("symbol"),
+        lambda rows: rows.repartition(F.col("symbol"), F.to_date("window_start")),
     )
 
 
@@ -176,15 +210,18 @@ def version_writer(
     """Write each batch to a folder of its own, replaced whole if the batch is repeated.
 
     The cost of a batch is the size of the batch: nothing that is already stored is rewritten.
-    An empty batch leaves an empty file; probing for it first would run the batch twice.
+    An empty batch leaves an empty folder; probing for it first would run the batch twice.
     ``sort`` orders rows within files, so that readers skip pages by that column, and ``day``,
     a SQL expression for a time, splits the folder by date; neither needs a shuffle.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         folder = f"{path}/query_id={_query_id(batch)}/batch_id={batch_id}"
-        rows, seen = _counted(prepare(batch).withColumn("ingested_at", F.current_timestamp()))
+        rows, seen = _counted(prepare(batch).withColumn("ingested_at", F.current_timestamp()), sort)
         _write_sorted(rows, folder, sort, day, "overwrite")
-        log.info("%s: batch %d wrote %d rows", path, batch_id, seen.get["rows"])
+        counts = seen.get
+        log.info("%s: batch %d wrote %d rows", path, batch_id, counts["rows"])
+        if counts["keyless"]:
+            log.warning("%s: batch %d has %d rows without a key", path, batch_id, counts["keyless"])
 
     return write
 
@@ -201,9 +238,19 @@ def _write_sorted(
     rows.write.mode(mode).partitionBy(*by_day).parquet(folder)
 
 
-def read_versions(spark: SparkSession, path: str) -> DataFrame:
-    """Everything ``version_writer`` stored, with the batch that stored it."""
-    return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+VERSION_COLUMNS = "ingested_at timestamp, query_id string, batch_id bigint, day date"
+
+
+def read_versions(spark: SparkSession, path: str, columns: StructType | None = None) -> DataFrame:
+    """Everything ``version_writer`` stored, with the batch that stored it.
+
+    ``columns`` are those that were written, by day; with them, a table that has had empty batches
+    only is empty. Without them the schema is the files'.
+    """
+    if columns is None:
+        return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    added = StructType.fromDDL(VERSION_COLUMNS)
+    return spark.read.schema(StructType(columns.fields + added.fields)).parquet(path)
 
 
 TRADE_DAY = "timestamp_millis(trade_ts)"
@@ -211,7 +258,11 @@ BAR_DAY = "window_start"
 
 
 def keyed_trade_writer(metadata: DataFrame, path: str) -> BatchWriter:
-    """Put enriched trades by row key; the last write of a key wins."""
+    """Put enriched trades by row key; the last write of a key wins.
+
+    Trades without a symbol or id have no key. They are kept beside the others, see
+    ``read_rejects``, and never replace one another.
+    """
     return version_writer(
         path, lambda batch: trade_cells(enrich_trades(batch, metadata)), "row_key", TRADE_DAY)
 
@@ -222,33 +273,40 @@ def keyed_bar_writer(metadata: DataFrame, path: str) -> BatchWriter:
         path, lambda batch: bar_cells(enrich_bars(batch, metadata)), "row_key", BAR_DAY)
 
 
-def _newest(versions: DataFrame, *keys: str) -> DataFrame:
-    return newest_version(versions, *keys).drop("query_id", "batch_id", "ingested_at", "day")
+def _current(versions: DataFrame, *keys: str) -> DataFrame:
+    rows = last_write(versions.filter("row_key IS NOT NULL"), *keys)
+    return rows.drop("query_id", "batch_id", "ingested_at", "day")
 
 
-def _read_keyed(spark: SparkSession, path: str, since: str | date | None, *keys: str):
-    """Newest version of every key. Filters on the keys pass below the window to the scan.
+def _read_keyed(versions: DataFrame, since: str | date | None, *keys: str) -> DataFrame:
+    """Last write of every key. Filters on the keys pass below the windows to the scan.
 
-    Keys spread evenly whatever the symbols do, and a key has as many rows as it has versions.
+    Keys spread evenly whatever the symbols do, and a key has as many rows as it has versions. One
+    shuffle serves both windows.
     """
-    versions = read_versions(spark, path)
     if since is not None:
         versions = versions.filter(F.col("day") >= F.lit(str(since)).cast("date"))
-    return _newest(versions, *keys)
+    return _current(versions.repartition(*keys), *keys)
 
 
 def read_keyed_trades(
     spark: SparkSession, path: str, since: str | date | None = None
 ) -> DataFrame:
     """Current trades. ``since`` reads only trades of that UTC day and later."""
-    return _read_keyed(spark, path, since, "symbol", "row_key")
+    return _read_keyed(read_versions(spark, path, KEYED_TRADES), since, "symbol", "row_key")
 
 
 def read_keyed_bars(
     spark: SparkSession, path: str, since: str | date | None = None
 ) -> DataFrame:
     """Current bars. ``since`` reads only bars of that UTC day and later."""
-    return _read_keyed(spark, path, since, "symbol", "window_start", "row_key")
+    return _read_keyed(
+        read_versions(spark, path, KEYED_BARS), since, "symbol", "window_start", "row_key")
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Trades that were put without a key, each as often as it came, with its batch."""
+    return read_versions(spark, path, KEYED_TRADES).filter("row_key IS NULL")
 
 
 def compact_keyed(spark: SparkSession, path: str, target: str, day: str) -> None:
@@ -256,14 +314,27 @@ def compact_keyed(spark: SparkSession, path: str, target: str, day: str) -> None
 
     ``day`` is ``TRADE_DAY`` or ``BAR_DAY``. Ranges of row keys split a large symbol over many
     files, and a key or a symbol is found by file statistics. The folder names let readers and
-    later batches go on there.
+    later batches go on there. No job may write to the old place meanwhile: if a batch has
+    arrived there when all is written, this fails, and the target must not be used.
     """
+    before = _batches(spark, path)
+    columns = KEYED_TRADES if day == TRADE_DAY else KEYED_BARS
     # Ranges of the key also bring its versions together, so one shuffle serves both.
-    versions = read_versions(spark, path).repartitionByRange("row_key")
-    rows = _newest(versions, "symbol", "row_key").withColumn(
-        "ingested_at", F.current_timestamp())
+    versions = read_versions(spark, path, columns).repartitionByRange("row_key")
+    rows = _current(versions, "symbol", "row_key").unionByName(
+        versions.filter("row_key IS NULL").select(*columns.names))
     folder = f"{target}/query_id=compacted/batch_id=-1"
-    _write_sorted(rows, folder, "row_key", day, "errorifexists")
+    _write_sorted(
+        rows.withColumn("ingested_at", F.current_timestamp()), folder, "row_key", day, "errorifexists")
+    if _batches(spark, path) != before:
+        raise RuntimeError(f"a batch was written to {path} during its compaction")
+
+
+def _batches(spark: SparkSession, path: str) -> set[tuple[str, int]]:
+    """Folder and time of every batch in a keyed table."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/query_id=*/batch_id=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return {(status.getPath().toString(), status.getModificationTime()) for status in found or []}
 
 
 def land_frames(raw: DataFrame, path: str):
