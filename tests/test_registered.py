@@ -30,3 +30,15 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
     assert differences(QUERIES[name](spark, SF_DIR), duck, SQL[name]) == []
+
+
+@pytest.mark.parametrize("name, pushed", [
+    ("vwap_range", ["EqualTo(symbol,BTCUSDT)", "GreaterThanOrEqual(window_start", "LessThan(window_start"]),
+    ("latest_bar", ["GreaterThanOrEqual(window_start", "LessThan(window_start"]),
+    ("trade_lookup", ["In(row_key"]),
+    ("recent_trades", ["EqualTo(symbol,BTCUSDT)"]),
+])
+def test_serving_reads_filter_their_store(spark, name, pushed):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    scan = plan.split("PushedFilters: ")[1].split("\n")[0]
+    assert all(filter_ in scan for filter_ in pushed) and "from_json" not in plan

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,7 +19,8 @@ from tickloom.sources import (
 from tickloom.sources.events import EVENT_SYMBOLS, OTHER_SYMBOL
 from tickloom.streaming.scratch import scratch
 from tickloom.streaming.sinks import (
-    create_bars_table, create_trades_table, table_bar_writer, table_trade_writer,
+    create_bars_table, create_trades_table, keyed_bar_writer, keyed_trade_writer, read_keyed_bars,
+    read_keyed_trades, table_bar_writer, table_trade_writer,
 )
 
 
@@ -136,32 +138,50 @@ def moving_avg(spark, sf_dir):
     return op.moving_avg(trades(spark, sf_dir))
 
 
+def _keyed_trades(spark, rows) -> DataFrame:
+    path = scratch(spark, "keyed-trades")
+    keyed_trade_writer(symbol_metadata(spark), path)(rows, 0)
+    return read_keyed_trades(spark, path)
+
+
+def _keyed_bars(spark, rows, lookback: timedelta) -> DataFrame:
+    """Stored bars from the day on that the look-back reaches."""
+    path = scratch(spark, "keyed-bars")
+    keyed_bar_writer(symbol_metadata(spark), path)(rows, 0)
+    return read_keyed_bars(spark, path, (datetime.fromisoformat(AS_OF) - lookback).date())
+
+
 def vwap_range(spark, sf_dir):
-    return op.vwap_range(bars(spark, sf_dir), "btcusdt", AS_OF, 60)
+    kept = _keyed_bars(spark, bars(spark, sf_dir), timedelta(minutes=60))
+    return op.vwap_range(kept, "btcusdt", AS_OF, 60)
 
 
 def recent_trades(spark, sf_dir):
-    return op.recent_trades(cells(spark, sf_dir), "btcusdt", 30)
+    return op.recent_trades(_keyed_trades(spark, trades(spark, sf_dir)), "btcusdt", 30)
 
 
 def trade_lookup(spark, sf_dir):
     keys = [f"{symbol}#{LOOKUP_ID:020d}" for symbol in LOOKUP_SYMBOLS]
-    return op.trade_lookup(cells(spark, sf_dir), *keys)
+    return op.trade_lookup(_keyed_trades(spark, trades(spark, sf_dir)), *keys)
 
 
 def latest_bar(spark, sf_dir):
-    return op.latest_bar(bars(spark, sf_dir), AS_OF)
+    kept = _keyed_bars(spark, bars(spark, sf_dir), timedelta(seconds=180))
+    return op.latest_bar(kept, AS_OF)
 
 
 def summary(spark, sf_dir):
-    return op.summary(
-        bars(spark, sf_dir), tracked_symbols(spark), symbol_metadata(spark), AS_OF)
+    kept = _keyed_bars(spark, bars(spark, sf_dir), timedelta(seconds=180))
+    return op.summary(kept, tracked_symbols(spark), symbol_metadata(spark), AS_OF)
 
 
 def symbol_card(spark, sf_dir):
-    t = stored(spark, trades(spark, sf_dir), "trades")
-    return op.symbol_card(
-        op.vwap(t), t, tracked_symbols(spark), symbol_metadata(spark), AS_OF)
+    """The newest trade comes from stored trades, whose symbols, ids and prices alone are read."""
+    table = _in_table(
+        spark, "trades", create_trades_table, table_trade_writer, trades(spark, sf_dir))
+    t = spark.table(table).withColumn("trade_ms", F.unix_millis("event_ts"))
+    kept = _keyed_bars(spark, op.vwap(t), timedelta(seconds=180))
+    return op.symbol_card(kept, t, tracked_symbols(spark), symbol_metadata(spark), AS_OF)
 
 
 def pair_info(spark, sf_dir):
