@@ -388,8 +388,9 @@ def test_shingles_do_not_depend_on_neighbours():
         assert hashes[rows == k].tolist() == alone.tolist()
 
 
-def test_top_k_equals_its_sql(spark):
-    assert differences(queries.op10_maxscore_top_k(spark, SF), connect(SF), queries.ORACLE["op10_maxscore_top_k"]) == []
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query_equals_its_sql(spark, name):
+    assert differences(queries.QUERIES[name](spark, SF), connect(SF), queries.ORACLE[name]) == []
 
 
 def test_top_k_edge_cases(spark):

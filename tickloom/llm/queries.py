@@ -87,6 +87,59 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_risk_controlled_quality": r"""
+        WITH texts AS (SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t FROM documents),
+        parts AS (
+            SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+                list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM texts
+        ), places AS (
+            SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS g FROM parts, unnest(range(1, len(words) - 6)) AS u(i)
+        ), again AS (SELECT doc_id, i FROM places QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+        covered AS (
+            SELECT doc_id, CAST(sum(step) AS BIGINT) AS n FROM (
+                SELECT doc_id, least(8, i - coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), i - 8)) AS step FROM again)
+            GROUP BY doc_id
+        ), counts AS (
+            SELECT doc_id, stratum, CAST(len(words) AS BIGINT) AS n_words,
+                CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+                CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                CAST(len(lines) AS BIGINT) AS n_lines,
+                CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                coalesce(covered.n, 0) AS n_repeat_words
+            FROM parts LEFT JOIN covered USING (doc_id)
+        ), rated AS (
+            SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+                n_symbols / greatest(word_chars, 1) AS symbols, n_dup_lines / greatest(n_lines, 1) AS lines,
+                n_repeat_words / greatest(n_words, 1) AS repeats
+            FROM counts
+        ), grid AS (
+            SELECT 'symbols' AS rule, unnest([0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.5]::DOUBLE[]) AS cut
+            UNION ALL SELECT 'lines', unnest([0.05, 0.1, 0.2, 0.3, 0.5, 0.7]::DOUBLE[])
+            UNION ALL SELECT 'repeats', unnest([0.02, 0.05, 0.1, 0.15, 0.2, 0.25]::DOUBLE[])
+        ), good AS (
+            SELECT rated.* FROM rated JOIN (
+                SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1) USING (doc_id)
+            WHERE NOT base_failed
+        ), tally AS (
+            SELECT stratum, rule, cut, count(*) AS n,
+                count(*) FILTER (CASE rule WHEN 'symbols' THEN symbols WHEN 'lines' THEN lines ELSE repeats END > cut) AS k
+            FROM good, grid GROUP BY ALL
+        ), passed AS (
+            SELECT stratum, rule, cut FROM tally, unnest(range(0, k + 1)) AS u(i) WHERE k < n * 0.02
+            GROUP BY stratum, rule, cut, n, k
+            HAVING sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.02) + (n - i) * ln(0.98)))
+                <= 0.05 / ((SELECT count(*) FROM grid) * (SELECT count(DISTINCT stratum) FROM tally))
+        ), chosen AS (
+            SELECT stratum, min(cut) FILTER (rule = 'symbols') AS a, min(cut) FILTER (rule = 'lines') AS b,
+                min(cut) FILTER (rule = 'repeats') AS c
+            FROM passed GROUP BY stratum
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            NOT base_failed AND NOT coalesce(symbols > a, false) AND NOT coalesce(lines > b, false)
+                AND NOT coalesce(repeats > c, false) AS kept
+        FROM rated LEFT JOIN chosen USING (stratum)
+    """,
     "op10_maxscore_top_k": """
         WITH parts AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
