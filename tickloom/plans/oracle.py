@@ -57,10 +57,23 @@ def _settled(value: str, digits: int) -> str:
     return _round(_round(value, digits + 4), digits)
 
 
+# Prices and quantities have eight decimals, so these sums are whole numbers, and exact.
+_QTY = "CAST(CAST(qty_d AS DECIMAL(19,8)) * 100000000 AS HUGEINT)"
+_Q = f"CAST(sum({_QTY}) AS HUGEINT)"
+_N = f"CAST(sum(CAST(CAST(price_d AS DECIMAL(19,8)) * 100000000 AS HUGEINT) * {_QTY}) AS HUGEINT)"
+
+
+def _exact(value: str, unit: str, digits: int) -> str:
+    """``value / unit``, of whole numbers from 0 on, rounded half up once."""
+    scale = 10 ** digits
+    whole = f"(2 * {scale}::HUGEINT * {value} + {unit}) // (2 * {unit})"
+    return f"CAST(CASE WHEN {unit} > 0 THEN {whole} END AS DOUBLE) / {scale}"
+
+
 BAR_COLUMNS = f"""
-         {_settled('sum(notional) / nullif(sum(qty_d), 0)', 4)} AS vwap_usd,
-         {_settled('sum(qty_d)', 6)} AS total_volume,
-         {_settled('sum(notional)', 2)} AS total_notional_usd,
+         {_exact(_N, f'(100000000::HUGEINT * {_Q})', 4)} AS vwap_usd,
+         {_exact(_Q, '100000000::HUGEINT', 6)} AS total_volume,
+         {_exact(_N, '10000000000000000::HUGEINT', 2)} AS total_notional_usd,
          count(*) AS trade_count,
          {_round('min(price_d)', 4)} AS low_usd,
          {_round('max(price_d)', 4)} AS high_usd"""
