@@ -150,6 +150,11 @@ def test_job_runner_lands_then_replays(spark, raw, tmp_path):
         query.awaitTermination()
     bronze = file_history(spark, str(tmp_path / "bronze"))
     assert sorted(bytes(r.value).decode() for r in bronze.collect()) == sorted(texts)
+    recent = file_history(spark, str(tmp_path / "bronze"), since="2020-01-01")
+    assert recent.count() == len(texts) and recent.schema == bronze.schema
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "landed" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert file_history(spark, str(tmp_path / "bronze"), since="2999-01-01").isEmpty()
     keyed = options(["keyed", "--files", str(tmp_path / "bronze"), "--once", "--final-bars",
                      "--output", str(tmp_path / "keyed"), "--checkpoint", str(tmp_path / "c2")])
     for query in run(spark, keyed):

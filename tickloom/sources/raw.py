@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tickloom.schema import RAW_SCHEMA
 
@@ -47,9 +49,13 @@ def file_frames(spark: SparkSession, path: str, max_files: int | None = None) ->
     reader = spark.readStream.schema(RAW_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return reader.parquet(path).select(*RAW_SCHEMA.names)
 
 
-def file_history(spark: SparkSession, path: str) -> DataFrame:
-    """Landed frames from the beginning, as a batch."""
-    return spark.read.schema(RAW_SCHEMA).parquet(path)
+def file_history(spark: SparkSession, path: str, since: str | date | None = None) -> DataFrame:
+    """Landed frames as a batch, from the beginning or from those that landed on a UTC day on."""
+    if since is None:
+        return spark.read.schema(RAW_SCHEMA).parquet(path).select(*RAW_SCHEMA.names)
+    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField("landed", T.DateType())])
+    frames = spark.read.schema(schema).parquet(path)
+    return frames.filter(F.col("landed") >= F.lit(str(since)).cast("date")).drop("landed")

@@ -338,9 +338,14 @@ def _batches(spark: SparkSession, path: str) -> set[tuple[str, int]]:
 
 
 def land_frames(raw: DataFrame, path: str):
-    """Append every frame unchanged to a bronze folder. Returns an unstarted stream writer."""
+    """Append every frame unchanged to a bronze folder, split by the day it arrived on.
+
+    That is the day of the topic's timestamp, or of the batch. Returns an unstarted stream writer.
+    """
     keep = [c for c in ["topic", "partition", "offset", "timestamp"] if c in raw.columns]
+    arrived = F.col("timestamp") if "timestamp" in keep else F.current_timestamp()
     return (
-        raw.select("value", *keep).writeStream.format("parquet")
+        raw.select("value", *keep, F.to_date(arrived).alias("landed"))
+        .writeStream.format("parquet").partitionBy("landed")
         .outputMode("append").option("path", path)
     )
