@@ -8,8 +8,8 @@ pair at the threshold with probability below 1e-6.
 
 Documents with equal sets are one class from the start. Within a band, pairs are not listed: each class is first
 confirmed against its most similar band centre, the member with the most company in all its bands. Only classes that
-then lie in different components, and that neither sizes, nor shingles found in no other class, nor signatures keep
-apart, are confirmed one by one. A link left out this way joins what is already one component.
+then lie in different components, and that nothing keeps apart, neither sizes, nor signatures, nor shingles found in no
+other class or in none of the other component, are confirmed one by one. A link left out this way joins what is already one component.
 
 Defined cases: a null or empty text, or one of blanks, has no shingles and links with nothing; rows that repeat a
 doc_id repeat its result; rows without doc_id are returned with a null component; other columns are ignored.
@@ -152,9 +152,9 @@ def _confirm(percent: int):
 
 
 def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) whose full sets are similar enough."""
+    """The pairs (x, y) whose full sets are similar enough. Sets are large, so they are sorted and merged at any size."""
     x, y = full.select(F.col("doc_id").alias("x"), F.col("shingles").alias("sx")), full.select(F.col("doc_id").alias("y"), F.col("shingles").alias("sy"))
-    return pairs.join(x, "x").join(y, "y").select("x", "y", "sx", "sy").mapInArrow(_confirm(percent), "x long, y long")
+    return pairs.hint("merge").join(x, "x").hint("merge").join(y, "y").select("x", "y", "sx", "sy").mapInArrow(_confirm(percent), "x long, y long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
@@ -174,7 +174,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     signed = chosen.select("doc_id", "n", "s0", "s1", "s2", "s3").join(company, "doc_id")
     signed = space.save(signed, "signed")
     full = space.save(
-        texts.join(signed.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        texts.join(signed.select("doc_id").hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
         .mapInArrow(_full_sets(size), "doc_id long, shingles binary"), "full")
 
     # First each class against its most similar centre.
@@ -207,25 +207,40 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     open_ = space.save(placed.join(mixed, "band"), "open")
     undecided = open_.select("doc_id").distinct()
     alone = (
-        full.join(undecided, "doc_id", "left_semi").mapInArrow(_spread, "shingle long, doc_id long")
+        full.join(undecided, "doc_id", "left_semi").withColumn("part", F.lit(0).cast("long"))
+        .mapInArrow(_spread, "shingle long, doc_id long, part long")
         .groupBy("shingle").agg(F.count("*").alias("found"), F.min("doc_id").alias("doc_id"))
         .where("found = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
     )
     facts = space.save(
-        signed.join(undecided, "doc_id", "left_semi").join(alone, "doc_id", "left")
-        .select("doc_id", "n", "s0", "s1", "s2", "s3", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common")),
+        chosen.join(undecided, "doc_id", "left_semi").join(alone, "doc_id", "left")
+        .select("doc_id", "n", "s0", "s1", "s2", "s3", "bands", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common")),
         "facts")
-    rows = open_.join(facts, "doc_id")
+    # What an outsider shares with all of a band's main component bounds what it shares with a member.
+    union = (
+        full.join(open_.where("component = main").select("doc_id", F.col("main").alias("part")).distinct(), "doc_id")
+        .select("doc_id", "shingles", "part").mapInArrow(_spread, "shingle long, doc_id long, part long")
+        .select("shingle", "part").distinct()
+    )
+    reach = space.save(
+        full.join(open_.where("component <> main").select("doc_id", F.col("main").alias("part")).distinct(), "doc_id")
+        .select("doc_id", "shingles", "part").mapInArrow(_spread, "shingle long, doc_id long, part long")
+        .join(union, ["shingle", "part"]).groupBy("doc_id", F.col("part").alias("main")).agg(F.count("*").alias("reach")), "reach")
+    rows = open_.join(facts, "doc_id").where("common * 100 >= n * %d" % percent)
+    outside = rows.where("component <> main").join(reach, ["doc_id", "main"], "left").fillna(0, ["reach"])
     both = F.least("a.common", "b.common")
+    total = F.col("a.n") + F.col("b.n")
+    first = F.array_position(F.zip_with("a.bands", "b.bands", lambda p, q: p == q), True)
     rest = (
-        rows.where("component <> main and common * 100 >= n * %d" % percent).alias("a")
-        .join(rows.where("common * 100 >= n * %d" % percent).alias("b"), (
+        outside.alias("a").join(rows.alias("b"), (
             (F.col("a.band") == F.col("b.band")) & (F.col("a.component") != F.col("b.component"))
-            & ((F.col("b.component") == F.col("b.main")) | (F.col("a.doc_id") < F.col("b.doc_id")))
+            & (((F.col("b.component") == F.col("b.main")) & (F.col("a.reach") * 100 >= (total - F.col("a.reach")) * percent))
+               | ((F.col("b.component") != F.col("b.main")) & (F.col("a.doc_id") < F.col("b.doc_id"))))
             & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)
-            & (both * 100 >= (F.col("a.n") + F.col("b.n") - both) * percent)
-            & (_matches("a", "b") >= agreeing(percent / 100))))
-        .select(F.col("a.doc_id").alias("x"), F.col("b.doc_id").alias("y")).distinct()
+            & (both * 100 >= (total - both) * percent)
+            & (_matches("a", "b") >= agreeing(percent / 100))
+            & (first == F.array_position("a.bands", F.col("a.band")))))
+        .select(F.col("a.doc_id").alias("x"), F.col("b.doc_id").alias("y"))
     )
     more = space.save(confirmed(rest, full, percent), "more")
     final = components(links.unionByName(more), space, "final")
@@ -243,9 +258,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
 
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per shingle of (doc_id, shingles, part)."""
     for batch in batches:
-        values = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column(1)]
-        ids = np.repeat(batch.column(0).to_numpy(), [len(v) for v in values])
-        flat = np.concatenate(values) if values else np.zeros(0, np.int64)
-        for low in range(0, len(flat), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(flat[low:low + 100_000]), pa.array(ids[low:low + 100_000])], ["shingle", "doc_id"])
+        ids, parts = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+        for low in range(0, batch.num_rows, 50):
+            values = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column(1).slice(low, 50)]
+            size = [len(v) for v in values]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(values)), pa.array(np.repeat(ids[low:low + 50], size)),
+                 pa.array(np.repeat(parts[low:low + 50], size))], ["shingle", "doc_id", "part"])
