@@ -11,7 +11,9 @@ before the token existed, and so on; and whether it has an arc is a handful of t
 looked up once and kept.
 
 A path is found symbol by symbol. Each prefix of a word has exactly one path, so the token that ends at a symbol is the
-one that has an arc from where its own start's path ends. Decoding emits the labels of the arcs.
+one that has an arc from where its own start's path ends. What a reader must know of the symbols so far is which tokens
+may be under way, each with the token before it; that is its state. Its moves are worked out once and kept in a table, so
+most symbols cost one look-up. Decoding emits the labels of the arcs.
 
 Defined cases: null text is empty and has no tokens; rows without doc_id and rows that repeat one are encoded each;
 other columns are ignored. Special tokens in a text are read as such, before normalisation.
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 import regex
 
-#: Chunks of text whose tokens a task keeps at hand; then it starts anew.
+#: Chunks of text, and moves, that a task keeps at hand; then it starts anew.
 KEPT = 200_000
 #: White space of Unicode besides the blank; fixed values.
 _SPACES = "\t\n\x0b\x0c\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"
@@ -70,8 +72,38 @@ class Automaton:
             else:
                 del self.live[whole]
         self.known: dict[int, bool] = {}
-        self.longest = max((len(s) for s in self.live), default=0)
-        self.words: dict[str, tuple[int, ...]] = {}
+        self._grow_tree()
+
+    def _grow_tree(self) -> None:
+        """The labels that can be met, as a tree; nodes know the token that ends there, with and without the suffix."""
+        self.kids: list[dict[str, int]] = [{}]
+        self.ends, self.last_ends, self.depth = [-1], [-1], [0]
+        for label, token in self.live.items():
+            final = bool(self.suffix) and label.endswith(self.suffix)
+            node = 0
+            for sign in label[:-len(self.suffix)] if final else label:
+                below = self.kids[node].get(sign)
+                if below is None:
+                    below = self.kids[node][sign] = len(self.kids)
+                    self.kids.append({})
+                    self.ends.append(-1)
+                    self.last_ends.append(-1)
+                    self.depth.append(self.depth[node] + 1)
+                node = below
+            if final:
+                self.last_ends[node] = token
+            else:
+                self.ends[node] = token
+        if not self.suffix:
+            self.last_ends = self.ends
+        self._forget()
+
+    def _forget(self) -> None:
+        """Begin the table of moves anew. State 0 stands before a word."""
+        self.states: list[tuple[tuple[int, int], ...]] = [((0, -1),)]
+        self.numbers = {self.states[0]: 0}
+        self.moves: dict[int, tuple[int, int, int]] = {}
+        self.final_moves: dict[int, tuple[int, int]] = {}
 
     def _arc(self, token: int, then: int) -> bool:
         """Whether the state behind ``token`` has an arc ``then``."""
@@ -98,35 +130,50 @@ class Automaton:
             found = self.known[key] = self._arc(token, then)
         return found
 
-    def encode_word(self, word: str) -> tuple[int, ...]:
+    def _move(self, state: int, sign: str, final: bool) -> tuple[int, int]:
+        """The token that ends with ``sign``, and its length; keeps the move, and where it leads."""
+        under_way, token, length = [], -1, 0
+        ends = self.last_ends if final else self.ends
+        for node, before in self.states[state]:
+            below = self.kids[node].get(sign)
+            if below is None:
+                continue
+            if token < 0 and ends[below] >= 0 and (before < 0 or self.arc(before, ends[below])):
+                token, length = ends[below], self.depth[below]
+            if self.kids[below] or self.last_ends[below] >= 0:
+                under_way.append((below, before))
+        if token < 0:
+            raise ValueError(f"the sign {sign!r} is not in the vocabulary")
+        key = state << 21 | ord(sign)
+        if final:
+            self.final_moves[key] = token, length
+        else:
+            reached = (*under_way, (0, token))
+            number = self.numbers.setdefault(reached, len(self.states))
+            if number == len(self.states):
+                self.states.append(reached)
+            self.moves[key] = number, token, length
+        return token, length
+
+    def encode_word(self, word: str) -> list[int]:
         """Tokens of a word in byte signs; the last sign carries the suffix."""
-        found = self.words.get(word)
-        if found is not None:
-            return found
-        n, live, known, size, longest = len(word), self.live, self.known, self.size, self.longest
-        last, begin = [-1] * (n + 1), [0] * (n + 1)
-        for j in range(1, n + 1):
-            part = word if j < n else word + self.suffix
-            stop = j if j < n else len(part)
-            for i in range(max(0, j - longest), j):
-                token = live.get(part[i:stop])
-                if token is None:
-                    continue
-                before = last[i]
-                if i == 0 or before >= 0 and (self.arc(before, token) if (f := known.get(before * size + token)) is None else f):
-                    last[j], begin[j] = token, i
-                    break
-        path, j = [], n
-        while j > 0:
-            if last[j] < 0:
-                raise ValueError(f"a sign of {word[:40]!r} is not in the vocabulary")
-            path.append(last[j])
-            j = begin[j]
-        found = tuple(reversed(path))
-        if n <= 64:
-            if len(self.words) >= KEPT:
-                self.words.clear()
-            self.words[word] = found
+        if len(self.moves) + len(self.final_moves) > 2 * KEPT:
+            self._forget()
+        moves, state, path = self.moves, 0, []
+        for sign in word[:-1]:
+            move = moves.get(state << 21 | ord(sign))
+            if move is None:
+                self._move(state, sign, False)
+                move = moves[state << 21 | ord(sign)]
+            path.append(move)
+            state = move[0]
+        token, length = self.final_moves.get(state << 21 | ord(word[-1])) or self._move(state, word[-1], True)
+        found, at = [token], len(word) - length
+        while at:
+            _, token, length = path[at - 1]
+            found.append(token)
+            at -= length
+        found.reverse()
         return found
 
 
