@@ -218,7 +218,11 @@ def repeats(gram: np.ndarray, before: np.ndarray, context: list[bytes], length:
         yield offset, order[has], again, first, np.stack([mix(tail[has] + np.uint64(offset)), heads[has, length - offset - 1]], 1)
 
 
-_PASSED = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc_id", "<i8"), ("start", "<i8")])
+#: A string that is passed on; ``open`` where its span is not yet within what its own part has found.
+_PASSED = np.dtype([
+    ("share", "<i4"), ("a", "<u8"), ("b", "<u8"), ("doc_id", "<i8"), ("place", "<i8"), ("offset", "<i2"), ("open", "?")])
+#: Neighbouring offsets of a gram that go to one share. Equal strings have equal grams at equal offsets.
+NEAR = 16
 
 
 def _scan(length: int, shares: int):
@@ -239,17 +243,20 @@ def _scan(length: int, shares: int):
             go, prints = row[own], prints[own]
             if len(go):
                 out = np.empty(len(go), _PASSED)
-                out["a"], out["b"], out["doc_id"], out["start"] = prints[:, 0], prints[:, 1], doc[go], place[go] - offset
-                passed.append(out)
+                out["a"], out["b"], out["doc_id"], out["place"], out["offset"] = *prints.T, doc[go], place[go], offset
+                out["share"] = mix(gram[go].view(np.uint64) + np.uint64(offset // NEAR)) % np.uint64(shares)
+                passed.append((go, offset, out))
         hit = np.flatnonzero(most >= 0)
         none = pa.nulls(len(hit), pa.int32())
         yield pa.RecordBatch.from_arrays(
             [pa.array(doc[hit]), pa.array(place[hit] - most[hit]), pa.array(place[hit] - least[hit] + length), none,
              pa.nulls(len(hit), pa.binary())], ["doc_id", "start", "end", "share", "strings"])
         if passed:
-            rows = np.concatenate(passed)
-            rows = rows[np.argsort(rows["a"] % np.uint64(shares), kind="stable")]
-            share = (rows["a"] % np.uint64(shares)).astype(np.int32)
+            for go, offset, out in passed:
+                out["open"] = (offset > most[go]) | (offset < least[go])
+            rows = np.concatenate([out for _, _, out in passed])
+            rows = rows[np.argsort(rows["share"], kind="stable")]
+            share = rows["share"]
             cut = np.flatnonzero(np.diff(share, prepend=-1))
             blobs = [r.tobytes() for r in np.split(rows, cut[1:])]
             nothing = pa.nulls(len(cut), pa.int64())
@@ -288,9 +295,14 @@ def _count_strings(length: int):
         rows = rows[np.lexsort((rows["b"], rows["a"]))]
         same = np.zeros(len(rows) + 1, bool)
         same[1:-1] = (rows["a"][1:] == rows["a"][:-1]) & (rows["b"][1:] == rows["b"][:-1])
-        rows = rows[same[1:] | same[:-1]]
+        rows = rows[(same[1:] | same[:-1]) & rows["open"]]
+        # strings around one anchor overlap in it, so their union is one span
+        rows = rows[np.lexsort((rows["offset"], rows["place"], rows["doc_id"]))]
+        new = np.ones(len(rows) + 1, bool)
+        new[1:-1] = (rows["doc_id"][1:] != rows["doc_id"][:-1]) | (rows["place"][1:] != rows["place"][:-1])
+        least, most = rows[new[:-1]], rows[new[1:]]
         return pa.RecordBatch.from_arrays(
-            [pa.array(rows["doc_id"]), pa.array(rows["start"]), pa.array(rows["start"] + length)],
+            [pa.array(least["doc_id"]), pa.array(most["place"] - most["offset"]), pa.array(least["place"] - least["offset"] + length)],
             ["doc_id", "start", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
