@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+from math import comb
 import re
 import zlib
 
@@ -199,6 +200,33 @@ def test_passages(docs, none):
     assert passages.passage_classes(none).isEmpty()
 
 
+def test_passages_at_the_limit_meet_two_functions():
+    assert sum(comb(passages.HASHES, k) * 0.75 ** k * 0.25 ** (passages.HASHES - k) for k in (0, 1)) < 5e-6
+
+
+def test_every_maximal_crossing_is_kept():
+    rng = np.random.default_rng(7)
+    # the first hit meets a wide range with the second and another one with the third
+    rows = [(0, 0, 60, 200, 0, 60, 200), (1, 50, 70, 300, 50, 70, 300), (2, -20, 60, 80, -20, 60, 80)]
+    cases = [np.array(rows)]
+    for _ in range(200):
+        c = rng.integers(40, 60, (12, 2))
+        width = rng.integers(0, 40, (12, 4))
+        cases.append(np.stack([rng.integers(0, 4, 12), c[:, 0] - width[:, 0], c[:, 0], c[:, 0] + width[:, 1],
+                               c[:, 1] - width[:, 2], c[:, 1], c[:, 1] + width[:, 3]], 1))
+    for hits in cases:
+        met = set()
+        for a in hits.tolist():
+            for b in hits.tolist():
+                x0, x1, y0, y1 = max(a[1], b[1]), min(a[3], b[3]), max(a[4], b[4]), min(a[6], b[6])
+                if (a[0] != b[0] and x0 <= min(a[2], b[2]) and max(a[2], b[2]) <= x1 and y0 <= min(a[5], b[5])
+                        and max(a[5], b[5]) <= y1 and min(x1 - x0, y1 - y0) + 1 >= 20):
+                    met.add((x0, x1, y0, y1))
+        want = {m for m in met if not any(o != m and o[0] <= m[0] and m[1] <= o[1] and o[2] <= m[2] and m[3] <= o[3] for o in met)}
+        found = passages.crossings(np.zeros(len(hits), np.int64), hits, 20, 50)
+        assert sorted(map(tuple, found[:, 1:].tolist())) == sorted(want)
+
+
 def test_archives(spark, workers):
     rows = [(1, "http://a.org/x", "same"), (2, "http://b.org/", "same"), (3, None, None), (4, "no url\n", ""),
             (None, "http://a.org/x", "own"), (5, "http://www.a.org:80/x", "é" * 5000), (2, "http://b.org/", "same")]
