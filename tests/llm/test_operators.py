@@ -227,6 +227,31 @@ def test_every_maximal_crossing_is_kept():
         assert sorted(map(tuple, found[:, 1:].tolist())) == sorted(want)
 
 
+def test_passages_that_the_first_document_of_a_hash_lacks(spark, monkeypatch):
+    """Earlier documents hold a part of what later ones share; every two that share 50 words are in one class."""
+    monkeypatch.setattr(passages, "HASHES", 4)
+    rows = []
+    for k in range(12):
+        p = lines(100 + k, 60).split()
+        heads = [lines(1000 + 10 * k + j, 80) for j in range(5)]
+        rows += [(10 * k, f"{heads[0]} {' '.join(p[:46])} {heads[1]}"), (10 * k + 1, f"{heads[2]} {' '.join(p[14:])} {heads[3]}"),
+                 (10 * k + 2, f"{heads[4]} {' '.join(p)}"), (10 * k + 3, " ".join(p) + f" {heads[3][::-1]}")]
+    found = {r.doc_id: r for r in passages.passage_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k in range(12):
+        assert [found[10 * k + j].component_id - 10 * k for j in range(4)] == [0, 1, 2, 2]
+        assert [found[10 * k + j].n_links for j in range(4)] == [0, 0, 1, 1]
+
+
+def test_links_are_the_other_documents_of_the_classes(spark):
+    rng = np.random.default_rng(8)
+    rows = sorted({(int(d), int(c)) for d, c in rng.integers(0, [30, 12], (60, 2))})
+    own = collections.defaultdict(set)
+    for d, c in rows:
+        own[d].add(c)
+    want = sorted((d, sum(bool(own[d] & own[o]) for o in own) - 1) for d in own)
+    assert results(passages._links(spark.createDataFrame(rows, "doc_id long, class long")), "doc_id", "n_links") == sorted(want, key=repr)
+
+
 def test_archives(spark, workers):
     rows = [(1, "http://a.org/x", "same"), (2, "http://b.org/", "same"), (3, None, None), (4, "no url\n", ""),
             (None, "http://a.org/x", "own"), (5, "http://www.a.org:80/x", "é" * 5000), (2, "http://b.org/", "same")]
