@@ -365,6 +365,25 @@ def test_repeated_strings(docs, none, monkeypatch, most):
     assert suffix_dedup.remove_repeats(none).isEmpty()
 
 
+def test_passed_strings_of_one_gram_are_spread():
+    """A footer after unique text: one gram, and a distinct string for each document and offset."""
+    import pyarrow as pa
+
+    footer = lines(50, 60).encode()[:200]
+    rows = [lines(5000 + k, 60).encode()[:168] + footer for k in range(600)]
+    n = len(rows)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([7] * n), pa.array([k // 200 for k in range(n)], pa.int32()), pa.array([3] * n, pa.int32()), pa.array(range(n)),
+         pa.array([168] * n), pa.array([168] * n, pa.int32()), pa.array(rows, pa.binary())],
+        ["gram", "part", "parts", "doc_id", "place", "before", "bytes"])
+    size = collections.Counter()
+    for out in suffix_dedup._scan(200, 64)(iter([batch])):
+        for share, blob in zip(out.column("share").to_pylist(), out.column("strings").to_pylist()):
+            if share is not None:
+                size[share] += len(blob)
+    assert len(size) == 64 and max(size.values()) < 2 * sum(size.values()) / 64
+
+
 def test_one_long_row_in_parts(spark, docs, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 3000)
     text = (lines(8, 2000) + lines(9, 60) + lines(10, 1500) + lines(9, 60)).encode()

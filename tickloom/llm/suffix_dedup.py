@@ -11,7 +11,7 @@ Anchors with equal contexts, all bytes that a string through them can reach, by
 these go. For one of each such class, and all others, the suffixes are fetched and sorted by their bytes. Around one
 anchor, for each offset of a string before it, equal strings are those in one interval of the common-prefix array with
 equal bytes to the left. A gram with more than ``MOST`` contexts is dealt out by document: each part finds its own repeats and passes on one copy of
-every string, and the parts' strings are counted together.
+every string, and the parts' strings are counted together, dealt out by the strings' own fingerprints.
 
 Defined cases: null text is empty, and a text shorter than ``length`` loses nothing; a document is compared with itself
 too; rows that repeat a doc_id with its text are different places; rows that repeat it with another text share its
@@ -221,8 +221,8 @@ def repeats(gram: np.ndarray, before: np.ndarray, context: list[bytes], length:
 #: A string that is passed on; ``open`` where its span is not yet within what its own part has found.
 _PASSED = np.dtype([
     ("share", "<i4"), ("a", "<u8"), ("b", "<u8"), ("doc_id", "<i8"), ("place", "<i8"), ("offset", "<i2"), ("open", "?")])
-#: Neighbouring offsets of a gram that go to one share. Equal strings have equal grams at equal offsets.
-NEAR = 16
+#: Passed strings that one share may hold; there are as many shares as that asks for.
+PER_SHARE = 1 << 20
 
 
 def _scan(length: int, shares: int):
@@ -244,7 +244,7 @@ def _scan(length: int, shares: int):
             if len(go):
                 out = np.empty(len(go), _PASSED)
                 out["a"], out["b"], out["doc_id"], out["place"], out["offset"] = *prints.T, doc[go], place[go], offset
-                out["share"] = mix(gram[go].view(np.uint64) + np.uint64(offset // NEAR)) % np.uint64(shares)
+                out["share"] = mix(out["a"] ^ mix(out["b"])) % np.uint64(shares)
                 passed.append((go, offset, out))
         hit = np.flatnonzero(most >= 0)
         none = pa.nulls(len(hit), pa.int32())
@@ -302,8 +302,8 @@ def _count_strings(length: int):
         new[1:-1] = (rows["doc_id"][1:] != rows["doc_id"][:-1]) | (rows["place"][1:] != rows["place"][:-1])
         least, most = rows[new[:-1]], rows[new[1:]]
         return pa.RecordBatch.from_arrays(
-            [pa.array(least["doc_id"]), pa.array(most["place"] - most["offset"]), pa.array(least["place"] - least["offset"] + length)],
-            ["doc_id", "start", "end"])
+            [pa.array(least["doc_id"]), pa.array(least["place"]), pa.array(most["place"] - most["offset"]),
+             pa.array(least["place"] - least["offset"] + length)], ["doc_id", "place", "start", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, last = [], None
@@ -332,6 +332,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, batches: int = 3) -> Data
         F.count("*").alias("copies"), F.min(F.struct("doc_id", "place")).alias("first"))
     kinds = contexts.groupBy("gram").agg(F.count("*").alias("kinds"))
     contexts = family.space.save(contexts.join(kinds, "gram"), "contexts")
+    dealt_out = contexts.where(F.col("kinds") > MOST).count()
     placed = family.space.save(found.join(contexts, ["gram", "around"]), "placed")
     family.space.drop("candidates")
     family.space.drop("contexts")
@@ -346,12 +347,13 @@ def repeated_spans(docs: DataFrame, length: int = 200, batches: int = 3) -> Data
         .mapInArrow(_contexts(length), "gram long, part int, parts int, doc_id long, place long, before int, bytes binary")
         .repartition("gram", "part").sortWithinPartitions("gram", "part")
     )
-    shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shares = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-dealt_out * (left + 1) // PER_SHARE))
     scanned = family.space.save(
         fetched.mapInArrow(_scan(length, shares), "doc_id long, start long, end long, share int, strings binary"), "scanned")
     several = (
-        scanned.where("share is not null").select("share", "strings").repartition("share").sortWithinPartitions("share")
-        .mapInArrow(_count_strings(length), "doc_id long, start long, end long")
+        scanned.where("share is not null").select("share", "strings").repartition(shares, "share").sortWithinPartitions("share")
+        .mapInArrow(_count_strings(length), "doc_id long, place long, start long, end long")
+        .groupBy("doc_id", "place").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("place")
     )
     spans = scanned.where("share is null").select("doc_id", "start", "end").unionByName(several).unionByName(alike)
     return spans.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
