@@ -132,6 +132,28 @@ def test_personal_data_rows_and_redaction(docs, none):
     assert pii.detect(none, pii.Detector().fit(none)).isEmpty() and pii.redact(none, detector).isEmpty()
 
 
+def test_loose_personal_data_is_added(spark):
+    rng = np.random.default_rng(12)
+    rows = []
+    for k in range(1200):
+        d = "".join(map(str, rng.integers(0, 10, 15)))
+        card = next(d + c for c in "0123456789" if pii.luhn(d + c))
+        card = " ".join(card[j:j + 4] for j in range(0, 16, 4))
+        name, host = ("".join(rng.choice(list("abcdefg"), 6)) for _ in range(2))
+        own = [f"email {name}@{host}.com today", f"card {card} today",
+               f"phone +49 {rng.integers(100, 1000)} {rng.integers(10 ** 6, 10 ** 7)} today", f"server 10.{k % 250}.{k % 99}.25 today",
+               f"the years {1900 + k % 100}-{1950 + k % 50} passed", f"we met at noon. Then {name} left"]
+        rows.append((k, f"{lines(k, 8)} {own[k % 6]} {lines(k + 1, 8)}"))
+    detector = pii.Detector().fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    for kind, loose, before in ((0, "abcfed at cbagfe dot com", "email"), (2, "4111.1111.1111.1111", "card"),
+                                (3, "0301 1234567", "phone"), (1, "10. 17. 3. 25", "server")):
+        text = f"bcd feg {before} {loose} today cde"
+        (base, spans), = detector.spans([text])
+        start = text.index(loose)
+        assert base == [] and (start, start + len(loose), kind) in spans, (loose, spans)
+    assert detector.spans(["bcd the years 1914-1918 passed", "we met at noon. Then abc left"]) == [([], []), ([], [])]
+
+
 def test_boosted_trees_learn_and_calibrate():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 4))

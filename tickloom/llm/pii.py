@@ -1,10 +1,11 @@
 """Personal data by candidate generation, gradient boosted trees and calibrated thresholds.
 
 Generators with high recall propose spans that may overlap: what the four strict rules match, and looser forms such as
-spelled-out e-mail addresses, groups of digits of any separators, phone numbers without a country code. Trees see the
-form of a candidate (length, digits, separators, group sizes, checksum) and its context (neighbouring signs, words
-before it) and score it. They are fitted per corpus on at most ``SAMPLE`` documents' candidates, where a candidate that
-covers a strict match of its kind is a positive and any other a negative; a separate fold calibrates the scores. A
+spelled-out e-mail addresses and all neighbouring groups of digits with any separators. Trees see the form of a candidate
+(length, digits, separators, group sizes, checksum) and its context (neighbouring signs, words before it) and score it.
+They are fitted per corpus on at most ``SAMPLE`` documents. Strict matches written loosely in their own context are the
+positives; what else overlaps them, and loose forms without a cue word before them, are the negatives;
+a separate fold calibrates the scores. A
 candidate is redacted if it is a strict match or if its calibrated probability reaches ``threshold``; of overlapping
 ones that are not strict, the most probable stays, and none may overlap a strict match.
 
@@ -30,6 +31,10 @@ from tickloom.llm.boosting import Trees, calibrated
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 20_000
+#: Positives that each fold must have; with fewer only strict matches count.
+LEAST = 20
+#: The feature that tells a cue word.
+CUE = 21
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
@@ -37,9 +42,10 @@ _DOTTED_RUN = re.compile(r"[0-9.]{7,}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_SPELLED = re.compile(
-    r"[A-Za-z0-9._%+-]{1,64} ?(?:@|\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]{2,63}){1,4}")
-_GROUPS = re.compile(r"[+(]{0,2}[0-9](?:[\x20().:/-]{0,2}[0-9]){6,24}")
+_AT = re.compile(r" ?(?:@|\(at\)|\[at\]| at ) ?", re.I)
+_PART = re.compile(r"[A-Za-z0-9-]{1,63}")
+_DOT = re.compile(r" ?(?:\.|\(dot\)|\[dot\]| dot ) ?", re.I)
+_RUN = re.compile(r"[0-9]+(?:[\x20().:/-]{1,3}[0-9]+)*")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -86,24 +92,64 @@ def strict(text: str) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda x: (x[0], x[2]))
 
 
+def _spelled(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses around each sign or word for "at", with one to four dots in the domain, whatever stands for them."""
+    for m in _AT.finditer(text):
+        start = m.start()
+        while start > max(0, m.start() - 64) and text[start - 1] in _LOCAL:
+            start -= 1
+        part = _PART.match(text, m.end()) if start < m.start() else None
+        for _ in range(4):
+            dot = _DOT.match(text, part.end()) if part else None
+            part = _PART.match(text, dot.end()) if dot else None
+            if part and len(part.group()) > 1:
+                yield start, part.end()
+
+
+def _groups(text: str) -> Iterator[tuple[int, int, int]]:
+    """(start, end, digits) of all neighbouring digit groups with 4 to 19 digits together, signs before them included."""
+    for run in _RUN.finditer(text):
+        own = [(m.start(), m.end()) for m in re.finditer("[0-9]+", run.group())]
+        for k, (low, _) in enumerate(own):
+            start, n = run.start() + low, 0
+            while start > 0 and text[start - 1] in "+(" and run.start() + low - start < 2:
+                start -= 1
+            for s, e in own[k:]:
+                n += e - s
+                if n > 19:
+                    break
+                if n >= 4:
+                    yield start, run.start() + e, n
+
+
 def candidates(text: str, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Proposed spans that may overlap each other and the strict matches, which are among them."""
     found = set(matches)
-    low = text.lower() if "dot" in text or "DOT" in text or "Dot" in text else ""
-    if "@" in text or "(at)" in low or "[at]" in low or " at " in low and " dot " in low:
-        found.update((m.start(), m.end(), 0) for m in _SPELLED.finditer(text))
-    if _DIGIT.search(text):
-        for m in _GROUPS.finditer(text):
-            part, n = m.group(), sum(c in "0123456789" for c in m.group())
-            if part.count(".") == 3 and n <= 12:
-                found.add((m.start(), m.end(), 1))
-            if 12 <= n <= 19:
-                found.add((m.start(), m.end(), 2))
-            if 7 <= n <= 15:
-                found.add((m.start(), m.end(), 3))
+    found.update((s, e, 0) for s, e in _spelled(text))
+    for s, e, n in _groups(text):
+        part = text[s:e]
+        if n <= 12 and part.count(".") == 3 and len(re.findall("[0-9]+", part)) == 4:
+            found.add((s, e, 1))
+        if n >= 12:
+            found.add((s, e, 2))
+        if 7 <= n <= 15:
+            found.add((s, e, 3))
     return sorted(found)
 
 
+def loosened(part: str, kind: int, way: int) -> str:
+    """A strict match as people also write it."""
+    if kind == 0:
+        at, dot = ((" at ", " dot "), ("(at)", "(dot)"), (" [at] ", " [dot] "), (" (at) ", "."))[way % 4]
+        return part.replace("@", at).replace(".", dot)
+    if kind == 1:
+        return part.replace(".", (". ", " . ", " .")[way % 3])
+    digits = re.sub("[^0-9]", "", part)
+    if kind == 2:
+        return "./:"[way % 3].join(digits[k:k + 4] for k in range(0, len(digits), 4))
+    return (part[1:], "0" + digits[2:5] + " " + digits[5:], "(0" + digits[2:4] + ") " + digits[4:], "0" + digits[2:5] + "/" + digits[5:])[way % 4]
+
+
 #: Words that announce personal data, by kind; fixed values.
 CUES = (
     ("mail", "email", "contact", "write"),
@@ -129,18 +175,42 @@ def features(text: str, start: int, end: int, kind: int) -> list[float]:
         b.isalnum(), a.isalnum(), b.isspace() or not b, a.isspace() or not a, b in "\"'=:#", a in "\"'.,;!",
         any(w in CUES[kind] for w in cue), sum(c.isalpha() for c in part) / (end - start),
         text[max(0, start - 40):start].count("\"") % 2,
+        len(re.findall("dot", part, re.I)), len(re.findall(r"[(\[]at[)\]]", part, re.I)), len(re.split(r"[^A-Za-z0-9]", part)[-1]),
+        part[-1:].isalpha() and re.split(r"[^A-Za-z0-9]", part)[-1][:1].isupper(), part.count("/") + part.count(":"),
+        text[end:end + 2].strip()[:1].isdigit() or text[max(0, start - 2):start].strip()[-1:].isdigit(),
     ]
 
 
+def examples(text: str) -> Iterator[tuple[list[float], bool]]:
+    """Features and label of loose candidates, by evidence that is no strict match of the candidate itself.
+
+    A strict match written loosely is a positive, and what else is proposed around it with its kind a negative. Of the
+    text's own loose forms those right after a cue word of their kind are left out, as they may be either; others are negatives.
+    """
+    matches = strict(text)
+    for s, e, kind in candidates(text, matches):
+        if all(e <= b or f <= s for b, f, _ in matches):
+            x = features(text, s, e, kind)
+            if not x[CUE]:
+                yield x, False
+    for k, (s, e, kind) in enumerate(matches):
+        loose = loosened(text[s:e], kind, s + k)
+        low = max(0, s - 64)
+        around = text[low:s] + loose + text[e:e + 64]
+        s, e = s - low, s - low + len(loose)
+        for b, f, other in candidates(around, []):
+            if other == kind and b < e and s < f:
+                yield features(around, b, f, kind), (b, f) == (s, e)
+
+
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fold, x, y = [], [], []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            matches = strict(text or "")
-            for s, e, kind in candidates(text or "", matches):
+            for own, label in examples(text or ""):
                 fold.append(key)
-                x.append([float(v) for v in features(text, s, e, kind)])
-                y.append(any(k == kind and 2 * (min(e, f) - max(s, b)) >= max(e - s, f - b) for b, f, k in matches))
+                x.append([float(v) for v in own])
+                y.append(label)
         yield pa.RecordBatch.from_arrays(
             [pa.array(fold, pa.int32()), pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.bool_())], ["fold", "x", "y"])
 
@@ -159,7 +229,8 @@ class Detector:
         text = docs.where(F.pmod(F.xxhash64("text"), F.lit(step)) == 0)
         rows = (
             text.select(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(2)).cast("int").alias("fold"), "text")
-            .mapInArrow(_examples, "fold int, x array<double>, y boolean").limit(8 * self.sample).collect()
+            .mapInArrow(_examples, "fold int, x array<double>, y boolean")
+            .orderBy(F.xxhash64("x", "y", "fold"), "fold", "x", "y").limit(8 * self.sample).collect()
         )
         if not rows:
             return self
@@ -167,7 +238,7 @@ class Detector:
         x, y = np.array([r.x for r in rows]), np.array([r.y for r in rows], float)
         order = np.lexsort((*x.T, y, fold))  # rows come in any order; the model must not depend on it
         fold, x, y = fold[order], x[order], y[order]
-        if len(set(y[fold == 0])) < 2 or not (fold == 1).any():
+        if any(y[fold == k].sum() < LEAST or (y[fold == k] == 0).sum() == 0 for k in (0, 1)):
             return self
         self.trees = Trees().fit(x[fold == 0], y[fold == 0])
         self.known, self.share = calibrated(self.trees.predict(x[fold == 1]), y[fold == 1])
