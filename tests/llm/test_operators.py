@@ -142,8 +142,10 @@ def test_loose_personal_data_is_added(spark):
         name, host = ("".join(rng.choice(list("abcdefg"), 6)) for _ in range(2))
         own = [f"email {name}@{host}.com today", f"card {card} today",
                f"phone +49 {rng.integers(100, 1000)} {rng.integers(10 ** 6, 10 ** 7)} today", f"server 10.{k % 250}.{k % 99}.25 today",
-               f"the years {1900 + k % 100}-{1950 + k % 50} passed", f"we met at noon. Then {name} left"]
-        rows.append((k, f"{lines(k, 8)} {own[k % 6]} {lines(k + 1, 8)}"))
+               f"the years {1900 + k % 100}-{1950 + k % 50} passed", f"we met at noon. Then {name} left",
+               f"email {name} at {host} dot com today", f"card {card.replace(' ', '.')} today",
+               f"phone 0{rng.integers(100, 1000)} {rng.integers(10 ** 6, 10 ** 7)} today", f"server 10. {k % 250}. {k % 99}. 25 today"]
+        rows.append((k, f"{lines(k, 8)} {own[k % 10]} {lines(k + 1, 8)}"))
     detector = pii.Detector().fit(spark.createDataFrame(rows, "doc_id long, text string"))
     for kind, loose, before in ((0, "abcfed at cbagfe dot com", "email"), (2, "4111.1111.1111.1111", "card"),
                                 (3, "0301 1234567", "phone"), (1, "10. 17. 3. 25", "server")):
