@@ -1,0 +1,111 @@
+"""Differencing into windows: every id once, windows gapless and within capacity, and nearly equal."""
+
+import collections
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tickloom.llm import differencing, queries
+from tickloom.llm.tokens import tokens
+
+DOCS = "doc_id long, text string, length long, row long, start string, sequence_id string, `group` string"
+pytestmark = pytest.mark.usefixtures("shared")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def corpus():
+    rng = np.random.default_rng(7)
+    rows = [(k % 120, " ".join(rng.choice(["one", "two", "three", "Ünï", "日本"], rng.integers(0, 1500)))) for k in range(200)]
+    return rows + [(None, None), (None, "same"), (None, "same"), (1, ""), (2, "<|endoftext|> x"), (3, "y" * 50_000), (4, "a b " * 40_000)]
+
+
+def padding(sizes, most=1024):
+    return sum(most - s for s in sizes if s & (s - 1))
+
+
+def checked(rows, texts, tokenizer, most=1024):
+    """The sizes of the windows, once all else is right."""
+    ids = [np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for _, t in texts]
+    of, spans = collections.defaultdict(list), collections.defaultdict(list)
+    for (doc_id, _), own in zip(texts, ids):
+        of[doc_id, len(own)].append(own)
+    for r in rows:
+        spans[r.doc_id, r.doc_tokens].append((r.start, r.length, r.ids_crc32))
+    assert of.keys() == spans.keys()
+    for key, held in of.items():
+        # every document's ids are covered once, and each piece is a piece of one of the documents
+        cover = collections.Counter(p for start, length, _ in spans[key] for p in range(start, start + length))
+        assert cover == {p: len(held) for p in range(key[1])}
+        for start, length, crc in spans[key]:
+            assert crc in {zlib.crc32(own[start:start + length].tobytes()) for own in held}
+    at = collections.defaultdict(list)
+    for r in rows:
+        at[r.sequence_id].append((r.offset, r.length))
+    for own in at.values():
+        own.sort()
+        assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:])) and sum(own[-1]) <= most
+    return [sum(own[-1]) for own in at.values()]
+
+
+def test_every_id_is_packed_once_with_little_padding(spark, tokenizer):
+    docs = spark.createDataFrame([(*r, 1, 2, "s", "q", "g") for r in corpus()], DOCS).repartition(3)
+    found = differencing.pack_evenly(docs, queries.byte_vocabulary())
+    assert found.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    sizes = checked(found.collect(), corpus(), tokenizer)
+    assert padding(sizes) < 0.005 * sum(sizes)
+    assert differencing.pack_evenly(docs.limit(0), queries.byte_vocabulary()).isEmpty()
+
+
+def test_several_groups_and_no_cuts_of_short_documents(spark, tokenizer, monkeypatch):
+    monkeypatch.setattr(differencing, "GROUP", 100)
+    docs = spark.createDataFrame(corpus(), "doc_id long, text string").repartition(3)
+    rows = differencing.pack_evenly(docs, queries.byte_vocabulary(), share=0).collect()
+    checked(rows, corpus(), tokenizer)
+    assert all(r.length == r.doc_tokens for r in rows if r.doc_tokens < 1024)
+
+
+def test_texts_that_the_quick_reader_gives_up_on(tokenizer):
+    read = tokens(*queries.byte_vocabulary())
+    for text in ("x" + " " * 1_200_000 + "y", "x" + "\n" * 1_200_000 + "y", "　" * 400_000 + "y <|endoftext|>"):
+        assert read(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_cuts_are_in_order_and_fine_pieces_are_powers_of_two():
+    for size in range(1, 300):
+        for fine in (False, True):
+            own = differencing.cuts(size, 64, fine)
+            assert sum(own) == size and max(own) <= 64
+            assert own == [size] if size < 64 and not fine else all(n & (n - 1) == 0 for n in own)
+
+
+def test_differencing_by_hand():
+    # 8 and 7 are set apart, then 6 meets 7, 5 meets 8: imbalance 0; 4 goes anywhere
+    found = differencing.difference([8, 7, 6, 5, 4], 2)
+    assert sorted(total for total, _ in found) == [14, 16]
+    assert sorted(i for _, own in found for i in own) == [0, 1, 2, 3, 4]
+    assert differencing.difference([], 3) == [] and differencing.difference([5], 3) == [(5, [0])]
+
+
+def test_the_number_of_windows_rises_until_all_fit():
+    assert len(differencing.windows([60] * 10, 100)) == 10
+    assert len(differencing.windows([50] * 10, 100)) == 5
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        lengths = sorted(rng.integers(1, 65, rng.integers(1, 60)).tolist(), reverse=True)
+        found = differencing.windows(lengths, 64)
+        assert all(total == sum(lengths[i] for i in own) <= 64 for total, own in found)
+        assert sorted(i for _, own in found for i in own) == list(range(len(lengths)))
+
+
+def test_small_pieces_make_windows_nearly_equal():
+    rng = np.random.default_rng(10)
+    lengths = sorted([int(x) for x in rng.integers(200, 800, 300)] + [1 << int(b) for b in rng.integers(0, 9, 900)], reverse=True)
+    totals = [total for total, _ in differencing.difference(lengths, sum(lengths) // 900)]
+    assert max(totals) - min(totals) <= 8

@@ -6,11 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm import bpe_automaton, language
+from tickloom.llm.differencing import pack_evenly
+from tickloom.llm.divergence import audit
 from tickloom.llm.near_dup import near_duplicates
 from tickloom.llm.packing import pack_documents
 from tickloom.llm.passages import passage_classes
 from tickloom.llm.pii import Detector, detect
 from tickloom.llm.quality import judge
+from tickloom.llm.spelling import variants
 from tickloom.llm.store import ready
 from tickloom.llm.suffix_dedup import remove_repeats
 from tickloom.llm.topk import search
@@ -73,6 +76,24 @@ def op4_compact_window_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_classes(table(spark, sf_dir, "documents"))
 
 
+def op11_permuterm_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"))
+
+
+def byte_vocabulary() -> tuple:
+    """The 50k byte-level vocabulary, for ``tokens.Tokens``; its one special token is read as such."""
+    path = public_tokenizers.path
+    return path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, (("<|endoftext|>", 50256),), path("byte_bpe_50k.json")
+
+
+def op13_karmarkar_karp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_evenly(table(spark, sf_dir, "documents"), byte_vocabulary())
+
+
 QUERIES = {
     "op4_compact_window_passages": op4_compact_window_passages,
     "op5_warc_capture_index": op5_warc_capture_index,
@@ -84,6 +105,9 @@ QUERIES = {
     "op6_rank_order_language": op6_rank_order_language,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op11_permuterm_spelling": op11_permuterm_spelling,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_karmarkar_karp_packing": op13_karmarkar_karp_packing,
 }
 
 ORACLE: dict[str, str] = {
@@ -157,4 +181,86 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op11_permuterm_spelling": r"""
+        WITH RECURSIVE codes AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+                lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS code
+        ), runs AS (
+            SELECT doc, run, count(*) AS c FROM (
+                SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+                FROM documents) GROUP BY ALL
+        ), bytes AS (
+            SELECT run, c, code, list_transform(range(1, length(h), 2), lambda i:
+                16 * (strpos('0123456789ABCDEF', h[i]) - 1) + strpos('0123456789ABCDEF', h[i + 1]) - 1) AS b
+            FROM (SELECT *, hex(doc || ':' || run) AS h FROM runs), codes
+        ), sums AS (
+            SELECT run, c, xor(list_reduce(list_prepend(4294967295, b),
+                lambda x, y: xor(x // 256, code[xor(x % 256, y) + 1])), 4294967295) AS h
+            FROM bytes
+        ), words AS (
+            SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (
+                SELECT c, CASE WHEN h % 199 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word
+                FROM sums)
+            WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5
+        ), cut AS (
+            SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM words, unnest(range(1, length(word) + 1)) AS u(i)
+        ), pairs AS (
+            SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+            UNION SELECT cut.word, words.word, words.n FROM cut JOIN words ON cut.rest = words.word
+            UNION SELECT words.word, cut.word, cut.n FROM cut JOIN words ON cut.rest = words.word
+        ), best AS (
+            SELECT word, count(*) AS n_near, max(other_n) AS best_n FROM pairs GROUP BY word
+        ), forms AS (
+            SELECT word, min(other) AS form, best_n AS form_n
+            FROM pairs JOIN best USING (word) JOIN words USING (word)
+            WHERE other_n = best_n AND best_n >= 5 * words.n GROUP BY word, best_n
+        ), steps AS (
+            SELECT word, form AS root, 1 AS k FROM forms
+            UNION ALL SELECT steps.word, forms.form, k + 1 FROM steps JOIN forms ON steps.root = forms.word
+        ), roots AS (SELECT word, arg_max(root, k) AS root FROM steps GROUP BY word)
+        SELECT word, form, coalesce(root, word) AS root, n, coalesce(n_near, 0) AS n_near, form_n
+        FROM words LEFT JOIN best USING (word) LEFT JOIN forms USING (word) LEFT JOIN roots USING (word)
+    """,
+    "op12_source_divergence": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents
+        ), tokens AS (
+            SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+        ), kept AS (
+            SELECT lang, term, count(*) AS n FROM tokens GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+        ), groups AS (SELECT DISTINCT lang, source FROM docs),
+        langs AS (
+            SELECT lang, count(kept.n) AS v, coalesce(sum(kept.n), 0) AS whole
+            FROM (SELECT DISTINCT lang FROM groups) LEFT JOIN kept USING (lang) GROUP BY lang
+        ), own AS (
+            SELECT lang, source, term, count(*) AS n FROM tokens SEMI JOIN kept USING (lang, term) GROUP BY ALL
+        ), sizes AS (
+            SELECT lang, source, coalesce(sum(own.n), 0) AS whole FROM groups LEFT JOIN own USING (lang, source) GROUP BY ALL
+        ), shares AS (
+            SELECT lang, sizes.source, term, coalesce(own.n, 0) AS n,
+                1 + CAST(1000000000 * (coalesce(own.n, 0) + 1) AS HUGEINT) // CAST(sizes.whole + v AS HUGEINT) AS p,
+                1 + CAST(1000000000 * (kept.n + 1) AS HUGEINT) // CAST(langs.whole + v AS HUGEINT) AS q
+            FROM sizes JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN own USING (lang, source, term)
+        ), gaps AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), pairs AS (
+            SELECT lang, a.source, b.source AS item, coalesce(value, 0) AS value
+            FROM groups a JOIN groups b USING (lang) LEFT JOIN gaps ON gaps.lang = a.lang AND gaps.source = a.source
+                AND gaps.item = b.source
+            WHERE a.source <> b.source
+        ), parts AS (
+            SELECT lang, source, 'pair' AS part, item, value FROM pairs
+            UNION ALL
+            SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q
+        ), ranked AS (
+            SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+                CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+            FROM parts
+        )
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+    """,
 }
