@@ -106,6 +106,6 @@ def test_the_number_of_windows_rises_until_all_fit():
 
 def test_small_pieces_make_windows_nearly_equal():
     rng = np.random.default_rng(10)
-    lengths = sorted([int(x) for x in rng.integers(200, 800, 300)] + [1 << int(b) for b in rng.integers(0, 9, 900)], reverse=True)
+    lengths = sorted([int(x) for x in rng.integers(100, 400, 300)] + [1 << int(b) for b in rng.integers(0, 9, 900)], reverse=True)
     totals = [total for total, _ in differencing.difference(lengths, sum(lengths) // 900)]
     assert max(totals) - min(totals) <= 8
