@@ -186,6 +186,18 @@ def test_packing(docs, none):
     assert queries.packed(none).isEmpty()
 
 
+def test_packing_survives_texts_that_the_quick_reader_gives_up_on(spark):
+    """A million blanks, newlines or wide blanks in a row end the pattern engine; a long piece of them is packed all the same."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [(k, "x" + c * 1_200_000 + "y") for k, c in enumerate(" \n\u3000")]
+    found = collections.defaultdict(dict)
+    for r in queries.packed(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found[r.doc_id][r.start] = (r.length, r.ids_crc32)
+    for k, text in rows:
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        assert found[k] == {s: (n, zlib.crc32(ids[s:s + n].tobytes())) for s, n in packing.cuts(len(ids), 2048)}
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_packing_holds_every_capacity(rule):
     rng = np.random.default_rng(2)
@@ -315,6 +327,7 @@ def test_language_edge_cases(spark, docs, none):
     assert all(found[i] == ("und", 0.0) for i in (5, 6, 7, 14)) and found[1][0] == "en"
     assert language.profiles(none) == [] and language.identify(none, known).isEmpty()
     assert language.identify(docs, []).where("lang_pred <> 'und'").isEmpty()
+    assert results(language.accepted(docs, []), "doc_id", "text") == results(docs, "doc_id", "text")
     kept = language.accepted(docs, known)
     assert kept.schema == docs.schema and kept.where("doc_id in (5, 6, 7, 14)").isEmpty() and not kept.isEmpty()
 

@@ -205,7 +205,12 @@ def identify(docs: DataFrame, known: list[tuple[str, np.ndarray]], size: int = S
 
 
 def accepted(docs: DataFrame, known: list[tuple[str, np.ndarray]], least: float = 0.505, size: int = SIZE) -> DataFrame:
-    """The rows of ``docs`` in a language that is known, told from the others with a score of ``least``."""
+    """The rows of ``docs`` in a language that is known, told from the others with a score of ``least``.
+
+    Where nothing was learned nothing can be rejected: all rows stay.
+    """
+    if not known:
+        return docs
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,6 @@ a doc_id are packed each; rows without doc_id are packed too; other columns are
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 import math
 import zlib
 
@@ -25,23 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.llm.store import Workspace
+from tickloom.llm.tokens import tokens
 
 GROUP = 8192
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-@lru_cache(maxsize=2)
-def encoder(ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...]):
-    """A byte-level tokenizer from a file of base64 tokens and ranks."""
-    import base64
-
-    import tiktoken
-
-    with open(ranks_path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special))
-
-
 def cuts(tokens: int, most: int) -> list[tuple[int, int]]:
     """(start, length) of each piece of a document; only the first may be shorter than ``most``."""
     if tokens <= most:
@@ -51,16 +39,15 @@ def cuts(tokens: int, most: int) -> list[tuple[int, int]]:
     return [(s, e - s) for s, e in zip(starts, [*starts[1:], tokens])]
 
 
-def _pieces(ranks_path: str, pattern: str, special: tuple, end_id: int, most: int, with_ids: bool):
+def _pieces(vocabulary: tuple, end_id: int, most: int, with_ids: bool):
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks_path, pattern, special)
+        encode = tokens(*vocabulary)
         for batch in batches:
             rows: list[list] = [[] for _ in names]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode.encode_to_numpy(text.as_py() or "", allowed_special="all").astype("<u4")
-                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                ids = np.append(encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
                 for k, (start, length) in enumerate(cuts(len(ids), most)):
                     own = ids[start:start + length].tobytes()
                     for column, value in zip(rows, (doc_id, k, start, length, zlib.crc32(own), own)):
@@ -72,13 +59,14 @@ def _pieces(ranks_path: str, pattern: str, special: tuple, end_id: int, most: in
 
 
 def tokenized(
-    docs: DataFrame, ranks_path: str, pattern: str, special: dict[str, int] | None = None, end_id: int = 0,
-    most: int = 2048, with_ids: bool = False,
+    docs: DataFrame, vocabulary: tuple, end_id: int = 0, most: int = 2048, with_ids: bool = False,
 ) -> DataFrame:
-    """The pieces of every document: doc_id, piece, start, length, ids_crc32 and, if asked for, ids as bytes."""
-    held = tuple(sorted((special or {}).items()))
+    """The pieces of every document: doc_id, piece, start, length, ids_crc32 and, if asked for, ids as bytes.
+
+    ``vocabulary`` are the arguments of ``tokens.Tokens``.
+    """
     return docs.select("doc_id", "text").mapInArrow(
-        _pieces(ranks_path, pattern, held, end_id, most, with_ids), PIECE + ", ids binary" * with_ids)
+        _pieces(vocabulary, end_id, most, with_ids), PIECE + ", ids binary" * with_ids)
 
 
 def best_fit(
@@ -142,9 +130,8 @@ def pack(
     return order.groupBy("group").applyInArrow(packed, f"{schema}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, special: dict[str, int] | None = None,
-                   end_id: int = 0, most: int = 2048, **options) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: tuple, end_id: int = 0, most: int = 2048, **options) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece."""
     space = Workspace(docs.sparkSession, "packing")
-    pieces = space.save(tokenized(docs, ranks_path, pattern, special, end_id, most), "pieces")
+    pieces = space.save(tokenized(docs, vocabulary, end_id, most), "pieces")
     return pack(pieces, most, **options)

@@ -41,10 +41,15 @@ def op6_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, known).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def byte_vocabulary() -> tuple:
+    """The 50k byte-level vocabulary, for ``tokens.Tokens``; its one special token is read as such."""
+    path = public_tokenizers.path
+    return path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, (("<|endoftext|>", 50256),), path("byte_bpe_50k.json")
+
+
 def packed(docs: DataFrame) -> DataFrame:
-    """Documents in sequences of 2048, by the 50k byte-level vocabulary; its one special token is read as such."""
-    return pack_documents(
-        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, {"<|endoftext|>": 50256})
+    """Documents in sequences of 2048."""
+    return pack_documents(docs, byte_vocabulary())
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,12 +89,6 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"))
 
 
-def byte_vocabulary() -> tuple:
-    """The 50k byte-level vocabulary, for ``tokens.Tokens``; its one special token is read as such."""
-    path = public_tokenizers.path
-    return path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, (("<|endoftext|>", 50256),), path("byte_bpe_50k.json")
-
-
 def op13_karmarkar_karp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_evenly(table(spark, sf_dir, "documents"), byte_vocabulary())
 

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  modules here use pa.compute, which pyarrow alone does not load
 
 WORD = r"[^\x20\x09-\x0D]+"
 
