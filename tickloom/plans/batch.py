@@ -20,7 +20,7 @@ from tickloom.sources.events import EVENT_SYMBOLS, OTHER_SYMBOL
 from tickloom.streaming.scratch import scratch
 from tickloom.streaming.sinks import (
     create_bars_table, create_trades_table, keyed_bar_writer, keyed_trade_writer, read_keyed_bars,
-    read_keyed_trades, table_bar_writer, table_trade_writer,
+    read_keyed_trades, read_recent_trades, table_bar_writer, table_trade_writer,
 )
 
 
@@ -138,10 +138,10 @@ def moving_avg(spark, sf_dir):
     return op.moving_avg(trades(spark, sf_dir))
 
 
-def _keyed_trades(spark, rows) -> DataFrame:
+def _put_trades(spark, rows) -> str:
     path = scratch(spark, "keyed-trades")
     keyed_trade_writer(symbol_metadata(spark), path)(rows, 0)
-    return read_keyed_trades(spark, path)
+    return path
 
 
 def _keyed_bars(spark, rows, lookback: timedelta) -> DataFrame:
@@ -157,12 +157,14 @@ def vwap_range(spark, sf_dir):
 
 
 def recent_trades(spark, sf_dir):
-    return op.recent_trades(_keyed_trades(spark, trades(spark, sf_dir)), "btcusdt", 30)
+    path = _put_trades(spark, trades(spark, sf_dir))
+    return read_recent_trades(spark, path, "btcusdt", 30)
 
 
 def trade_lookup(spark, sf_dir):
     keys = [f"{symbol}#{LOOKUP_ID:020d}" for symbol in LOOKUP_SYMBOLS]
-    return op.trade_lookup(_keyed_trades(spark, trades(spark, sf_dir)), *keys)
+    kept = read_keyed_trades(spark, _put_trades(spark, trades(spark, sf_dir)))
+    return op.trade_lookup(kept, *keys)
 
 
 def latest_bar(spark, sf_dir):

@@ -24,11 +24,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tickloom.operators.enrich import bar_cells, enrich_bars, enrich_trades, trade_cells
-from tickloom.operators.serving import last_write
+from tickloom.operators.serving import last_write, recent_trades
 from tickloom.schema import (
     BARS_TABLE_COLUMNS, BARS_TABLE_PARTITIONS, KEYED_BARS, KEYED_TRADES, TRADES_TABLE_COLUMNS,
     TRADES_TABLE_PARTITIONS,
 )
+from tickloom.streaming.store import VERSION_COLUMNS, compact_days, exists, newest_days, read_stored
 
 log = logging.getLogger(__name__)
 
@@ -71,15 +72,10 @@ def _create_table(
         f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING parquet "
         f"OPTIONS (compression 'snappy') PARTITIONED BY ({', '.join(partitions)}) {at}"
     )
-    if location and not known and _exists(spark, location):
+    if location and not known and exists(spark, location):
         spark.catalog.recoverPartitions(name)
 
 
-def _exists(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
 def create_trades_table(
     spark: SparkSession, name: str = "trades", location: str | None = None
 ) -> None:
@@ -238,9 +234,6 @@ def _write_sorted(
     rows.write.mode(mode).partitionBy(*by_day).parquet(folder)
 
 
-VERSION_COLUMNS = "ingested_at timestamp, query_id string, batch_id bigint, day date"
-
-
 def read_versions(spark: SparkSession, path: str, columns: StructType | None = None) -> DataFrame:
     """Everything ``version_writer`` stored, with the batch that stored it.
 
@@ -278,35 +271,62 @@ def _current(versions: DataFrame, *keys: str) -> DataFrame:
     return rows.drop("query_id", "batch_id", "ingested_at", "day")
 
 
-def _read_keyed(versions: DataFrame, since: str | date | None, *keys: str) -> DataFrame:
+def _read_keyed(
+    spark: SparkSession, path: str, columns: StructType, since: str | date | None, *keys: str
+) -> DataFrame:
     """Last write of every key. Filters on the keys pass below the windows to the scan.
 
     Keys spread evenly whatever the symbols do, and a key has as many rows as it has versions. One
     shuffle serves both windows.
     """
-    if since is not None:
-        versions = versions.filter(F.col("day") >= F.lit(str(since)).cast("date"))
+    versions = read_stored(spark, path, columns, since and date.fromisoformat(str(since)))
     return _current(versions.repartition(*keys), *keys)
 
 
+TRADE_KEY = ("symbol", "row_key")
+BAR_KEY = ("symbol", "window_start", "row_key")
+
+
 def read_keyed_trades(
     spark: SparkSession, path: str, since: str | date | None = None
 ) -> DataFrame:
     """Current trades. ``since`` reads only trades of that UTC day and later."""
-    return _read_keyed(read_versions(spark, path, KEYED_TRADES), since, "symbol", "row_key")
+    return _read_keyed(spark, path, KEYED_TRADES, since, *TRADE_KEY)
 
 
 def read_keyed_bars(
     spark: SparkSession, path: str, since: str | date | None = None
 ) -> DataFrame:
     """Current bars. ``since`` reads only bars of that UTC day and later."""
-    return _read_keyed(
-        read_versions(spark, path, KEYED_BARS), since, "symbol", "window_start", "row_key")
+    return _read_keyed(spark, path, KEYED_BARS, since, *BAR_KEY)
+
+
+def read_recent_trades(spark: SparkSession, path: str, symbol: str, limit: int = 30) -> DataFrame:
+    """A symbol's newest trades, newest first, from as few of the newest days as hold them.
+
+    Trade ids of a symbol rise with time, so no older day holds a later id. Only a day's trades of the
+    symbol are read: files are sorted by key, and the filter reaches their statistics.
+    """
+    def newest(versions: DataFrame) -> DataFrame:
+        own = versions.filter(F.col("symbol") == symbol.upper())
+        return recent_trades(_current(own.repartition(*TRADE_KEY), *TRADE_KEY), symbol, limit)
+
+    return newest_days(spark, path, KEYED_TRADES, newest, limit)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """Trades that were put without a key, each as often as it came, with its batch."""
-    return read_versions(spark, path, KEYED_TRADES).filter("row_key IS NULL")
+    return read_stored(spark, path, KEYED_TRADES).filter("row_key IS NULL")
+
+
+def compact_keyed_trades(spark: SparkSession, path: str, before: str | date):
+    """Compact a keyed table of trades in place while jobs write to it; see ``store.compact_days``."""
+    return compact_days(spark, path, KEYED_TRADES, before)
+
+
+def compact_keyed_bars(spark: SparkSession, path: str, before: str | date):
+    """Compact a keyed table of bars in place while jobs write to it; see ``store.compact_days``."""
+    return compact_days(spark, path, KEYED_BARS, before)
 
 
 def compact_keyed(spark: SparkSession, path: str, target: str, day: str) -> None:
@@ -320,7 +340,7 @@ def compact_keyed(spark: SparkSession, path: str, target: str, day: str) -> None
     before = _batches(spark, path)
     columns = KEYED_TRADES if day == TRADE_DAY else KEYED_BARS
     # Ranges of the key also bring its versions together, so one shuffle serves both.
-    versions = read_versions(spark, path, columns).repartitionByRange("row_key")
+    versions = read_stored(spark, path, columns).repartitionByRange("row_key")
     rows = _current(versions, "symbol", "row_key").unionByName(
         versions.filter("row_key IS NULL").select(*columns.names))
     folder = f"{target}/query_id=compacted/batch_id=-1"
