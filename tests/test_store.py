@@ -2,8 +2,10 @@
 
 from datetime import date, timedelta
 import re
+import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import frame
 from tickloom.operators import parse_trades, recent_trades, vwap
@@ -184,3 +186,31 @@ def test_bars_are_compacted_too(spark, trades, tmp_path):
     assert content(read_keyed_bars(spark, path)) == before
     assert read_keyed_bars(spark, path, since="2024-01-02").count() == 2
     assert read_versions(spark, path).count() == 5  # what is not compacted
+
+
+def test_the_newest_trade_comes_from_each_symbols_newest_day(spark, trades):
+    from tickloom.operators import newest_trade
+    from tickloom.streaming.sinks import create_trades_table, read_newest_trades, table_trade_writer
+
+    table = "newest_" + uuid.uuid4().hex[:8]
+    create_trades_table(spark, table)
+    odd = "A/B=C +%"
+    rows = [frame(DAY * d, "BTCUSDT", trade_id=d) for d in range(30)]
+    rows += [frame(DAY * d, "ETHUSDT", trade_id=100 + d) for d in range(3)]  # not traded since
+    rows += [frame(DAY * d, odd, trade_id=d if d < 10 else None) for d in range(20)]  # without ids of late
+    rows += [frame(DAY * 40, "OTHER", trade_id=1), frame(0, "SOLUSDT", trade_id=9, T=None), frame(0, "SOLUSDT", trade_id=8)]
+    table_trade_writer(table)(trades(*rows), 0)
+    try:
+        symbols = ["BTCUSDT", "ETHUSDT", "SOLUSDT", odd, "NEVER"]
+        found = read_newest_trades(spark, table, symbols)
+        assert {(r.symbol, str(r.trade_date)) for r in found.select("symbol", "trade_date").distinct().collect()} == {
+            ("BTCUSDT", "2024-01-30"), ("ETHUSDT", "2024-01-03"), ("SOLUSDT", "2024-01-01"), ("SOLUSDT", "None"),
+            *((odd, str(day(d))) for d in range(4, 20))}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "trade_date" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+        with_ms = found.withColumn("trade_ms", F.unix_millis("event_ts"))
+        assert {r.symbol: r.trade_id for r in newest_trade(with_ms).collect()} == {
+            "BTCUSDT": 29, "ETHUSDT": 102, "SOLUSDT": 9, odd: 9}
+        assert read_newest_trades(spark, table, ["NEVER"]).isEmpty()
+    finally:
+        spark.sql(f"DROP TABLE {table}")

@@ -12,6 +12,7 @@ from tickloom.functions import (
     decode_double, decode_long, decode_text, parse_mixed_ts, row_key,
 )
 from tickloom.plans.inputs import AS_OF, frames, trades
+from tickloom.schema import TRACKED_SYMBOLS
 from tickloom.sources import (
     load_symbol_metadata, publish_symbol_metadata, symbol_metadata, symbol_reference,
     tracked_symbols,
@@ -20,7 +21,7 @@ from tickloom.sources.events import EVENT_SYMBOLS, OTHER_SYMBOL
 from tickloom.streaming.scratch import scratch
 from tickloom.streaming.sinks import (
     create_bars_table, create_trades_table, keyed_bar_writer, keyed_trade_writer, read_keyed_bars,
-    read_keyed_trades, read_recent_trades, table_bar_writer, table_trade_writer,
+    read_keyed_trades, read_newest_trades, read_recent_trades, table_bar_writer, table_trade_writer,
 )
 
 
@@ -178,12 +179,13 @@ def summary(spark, sf_dir):
 
 
 def symbol_card(spark, sf_dir):
-    """The newest trade comes from stored trades, whose symbols, ids and prices alone are read."""
+    """The newest trade comes from the newest stored days of the tracked symbols, of which three columns are read."""
     table = _in_table(
         spark, "trades", create_trades_table, table_trade_writer, trades(spark, sf_dir))
-    t = spark.table(table).withColumn("trade_ms", F.unix_millis("event_ts"))
-    kept = _keyed_bars(spark, op.vwap(t), timedelta(seconds=180))
-    return op.symbol_card(kept, t, tracked_symbols(spark), symbol_metadata(spark), AS_OF)
+    kept = _keyed_bars(spark, op.vwap(spark.table(table)), timedelta(seconds=180))
+    newest = read_newest_trades(spark, table, TRACKED_SYMBOLS.split(",")).withColumn(
+        "trade_ms", F.unix_millis("event_ts"))
+    return op.symbol_card(kept, newest, tracked_symbols(spark), symbol_metadata(spark), AS_OF)
 
 
 def pair_info(spark, sf_dir):

@@ -20,7 +20,7 @@ from collections.abc import Callable
 from datetime import date, timedelta
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tickloom.operators.enrich import bar_cells, enrich_bars, enrich_trades, trade_cells
@@ -29,7 +29,7 @@ from tickloom.schema import (
     BARS_TABLE_COLUMNS, BARS_TABLE_PARTITIONS, KEYED_BARS, KEYED_TRADES, TRADES_TABLE_COLUMNS,
     TRADES_TABLE_PARTITIONS,
 )
-from tickloom.streaming.store import VERSION_COLUMNS, compact_days, exists, newest_days, read_stored
+from tickloom.streaming.store import NO_DAY, VERSION_COLUMNS, compact_days, exists, newest_days, read_stored
 
 log = logging.getLogger(__name__)
 
@@ -197,6 +197,54 @@ def table_bar_writer(table: str = "vwap_bars") -> BatchWriter:
     )
 
 
+def read_newest_trades(spark: SparkSession, table: str, symbols: list[str]) -> DataFrame:
+    """The rows of a trades table that can hold the newest trade of each symbol.
+
+    Days come from the catalog's partitions, a symbol's newest first. A symbol none of whose trades of that day has an id
+    goes back, twice as many days each time. Trade ids of a symbol rise with time, so no older day holds a later id.
+    Trades without a time have a partition of their own, which is always read. ``symbols`` is a watch list: it and
+    one day for each are all that reaches the driver.
+    """
+    whole = spark.table(table)
+    wanted = F.col("symbol").isin(*symbols)
+    days: dict[str, list[date]] = {}
+    for row in _partitions(spark, table).filter(wanted).collect():
+        days.setdefault(row.symbol, []).append(row.trade_date)
+    days = {symbol: sorted((d for d in own if d), reverse=True) for symbol, own in days.items()}
+    width = dict.fromkeys(days, 1)
+
+    def rows(some: dict[str, list[date]]) -> DataFrame:
+        """Symbols with the same first day share a condition, so there are as many as days."""
+        since: dict[date, list[str]] = {}
+        for symbol, own in some.items():
+            if own:
+                since.setdefault(own[min(width[symbol], len(own)) - 1], []).append(symbol)
+        reach = wanted & F.col("trade_date").isNull()
+        for first, names in sorted(since.items()):
+            reach |= F.col("symbol").isin(*names) & (F.col("trade_date") >= F.lit(first))
+        return whole.filter(reach)
+
+    while True:
+        found = rows(days)
+        held = {row.symbol for row in found.filter("trade_id IS NOT NULL").select("symbol").distinct().collect()}
+        back = [symbol for symbol, own in days.items() if symbol not in held and width[symbol] < len(own)]
+        if not back:
+            return found
+        width.update({symbol: 2 * width[symbol] for symbol in back})
+
+
+def _partitions(spark: SparkSession, table: str) -> DataFrame:
+    """symbol and trade_date of every partition of a trades table, from the catalog."""
+    name = F.split("partition", "/")
+
+    def value(k: int) -> Column:
+        text = F.url_decode(F.replace(F.substring_index(name[k], "=", -1), F.lit("+"), F.lit("%2B")))
+        return F.nullif(text, F.lit(NO_DAY))
+
+    return spark.sql(f"SHOW PARTITIONS {table}").select(
+        value(0).alias("symbol"), value(1).try_cast("date").alias("trade_date"))
+
+
 def version_writer(
     path: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
