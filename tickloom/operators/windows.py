@@ -62,27 +62,45 @@ def whales(trades: DataFrame, threshold: float = 50000.0) -> DataFrame:
     )
 
 
+def _in_panes(trades: DataFrame, width: int, slide: int, final: bool) -> bool:
+    """Whether sliding windows are made of panes one slide wide, which are copied in place of trades.
+
+    A stream in update mode cannot aggregate its own updates, so it copies trades. In append mode
+    (``final``) the panes are a first aggregate with state, whose closed rows a second one takes.
+    """
+    return width % slide == 0 and (final or not trades.isStreaming)
+
+
+def _of_panes(panes: DataFrame, width: int, slide: int) -> DataFrame:
+    """Panes, each once for every window it lies in. The time of a pane carries the watermark on."""
+    return panes.withColumn("window", _window("pane", width, slide))
+
+
 def _sliding_sums(
-    trades: DataFrame, width: int, slide: int, keys: list[str], sums: dict[str, Column]
+    trades: DataFrame, width: int, slide: int, keys: list[str], sums: dict[str, Column], final: bool
 ) -> DataFrame:
-    """Counts and sums per sliding window: of panes one slide wide, which are copied into windows
-    in place of trades. A stream in update mode cannot aggregate its own updates, so it copies
-    trades."""
+    """Counts and sums per sliding window."""
     named = [value.alias(name) for name, value in sums.items()]
-    if trades.isStreaming or width % slide:
+    if not _in_panes(trades, width, slide, final):
         return trades.groupBy(_window("event_ts", width, slide), *keys).agg(*named)
     panes = trades.groupBy(_window("event_ts", slide).alias("pane"), *keys).agg(*named)
     return (
-        panes.withColumn("window", _window("pane.start", width, slide))
+        _of_panes(panes, width, slide)
         .groupBy("window", *keys).agg(*(F.sum(name).alias(name) for name in sums))
     )
 
 
-def velocity(trades: DataFrame, width: int = 60, slide: int = 30) -> DataFrame:
-    """Sliding count, volume and notional per symbol and aggressor side."""
+def velocity(
+    trades: DataFrame, width: int = 60, slide: int = 30, final: bool = False
+) -> DataFrame:
+    """Sliding count, volume and notional per symbol and aggressor side.
+
+    ``final`` is for a stream in append mode: closed windows only, made of panes. A trade is then late
+    when its pane is closed, not its last window.
+    """
     sums = {"trade_count": F.count("*"), "q": F.sum("qty_d"), "n": F.sum("notional")}
     return (
-        _sliding_sums(trades, width, slide, ["symbol", "side"], sums)
+        _sliding_sums(trades, width, slide, ["symbol", "side"], sums, final)
         .select(
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),
@@ -96,10 +114,13 @@ def velocity(trades: DataFrame, width: int = 60, slide: int = 30) -> DataFrame:
 
 
 def moving_avg(
-    trades: DataFrame, width: int = 120, slide: int = 10, flag: float = 0.001
+    trades: DataFrame, width: int = 120, slide: int = 10, flag: float = 0.001, final: bool = False
 ) -> DataFrame:
-    """Sliding mean and sample deviation of the price, with a volatility flag."""
-    if trades.isStreaming or width % slide:
+    """Sliding mean and sample deviation of the price, with a volatility flag.
+
+    ``final`` is for a stream in append mode, as in ``velocity``.
+    """
+    if not _in_panes(trades, width, slide, final):
         stats = trades.groupBy(_window("event_ts", width, slide), "symbol").agg(
             F.avg("price_d").alias("sma"),
             F.stddev_samp("price_d").alias("sd"),
@@ -123,23 +144,22 @@ def _moving_stats(trades: DataFrame, width: int, slide: int) -> DataFrame:
     """Mean and deviation per sliding window, from panes one slide wide.
 
     A sliding window copies each input row ``width / slide`` times, 12 times by default. Here
-    panes are copied instead of trades. A stream cannot do this, as it would need a second
-    aggregate over the first one's updates.
+    panes are copied instead of trades.
     """
-    panes = (
-        trades.groupBy(_window("event_ts", slide).alias("pane"), "symbol")
-        .agg(
+    panes = _of_panes(
+        trades.groupBy(_window("event_ts", slide).alias("pane"), "symbol").agg(
             F.count("*").alias("rows"),
             F.count("price_d").alias("n"),
             F.avg("price_d").alias("mean"),
             F.var_pop("price_d").alias("variance"),
-        )
-        .withColumn("window", _window("pane.start", width, slide))
-    )
-    # At most width / slide panes share a window, so the centre of each is found first and
-    # deviations are summed around it; sums of raw squares would cancel at high prices.
-    per_window = Window.partitionBy("window", "symbol")
+        ), width, slide)
+    # The centre of a window's panes is found first and deviations are summed around it; sums of raw
+    # squares would cancel at high prices. A batch does that by a window function. A stream has none,
+    # and gathers the panes instead: at most width / slide share a window.
     n, mean, centre = F.col("n"), F.col("mean"), F.col("centre")
+    if panes.isStreaming:
+        return _gathered_stats(panes)
+    per_window = Window.partitionBy("window", "symbol")
     return (
         panes.withColumn(
             "centre",
@@ -156,6 +176,23 @@ def _moving_stats(trades: DataFrame, width: int, slide: int) -> DataFrame:
     )
 
 
+def _gathered_stats(panes: DataFrame) -> DataFrame:
+    n = F.col("n")
+
+    def total(value) -> Column:
+        return F.aggregate("panes", F.lit(0.0), lambda so_far, pane: so_far + value(pane))
+
+    filled = F.filter(F.collect_list(F.struct("n", "mean", "variance")), lambda pane: pane["n"] > 0)
+    return (
+        panes.groupBy("window", "symbol")
+        .agg(F.sum("rows").alias("sample_count"), F.sum("n").alias("n"), filled.alias("panes"))
+        .withColumn("sma", F.try_divide(total(lambda pane: pane["n"] * pane["mean"]), n))
+        .withColumn("spread", total(
+            lambda pane: pane["n"] * (pane["variance"] + F.pow(pane["mean"] - F.col("sma"), 2))))
+        .withColumn("sd", F.when(n > 1, F.sqrt(F.col("spread") / (n - 1))))
+    )
+
+
 def ohlcv(trades: DataFrame, width: int = 60) -> DataFrame:
     """Extension: bar with open and close, ordered by event time and then trade id.
 
@@ -190,15 +227,17 @@ def ohlcv(trades: DataFrame, width: int = 60) -> DataFrame:
     )
 
 
-def order_flow_imbalance(trades: DataFrame, width: int = 60, slide: int = 30) -> DataFrame:
-    """Extension: buy against sell volume per sliding window, from -1 to 1."""
+def order_flow_imbalance(
+    trades: DataFrame, width: int = 60, slide: int = 30, final: bool = False
+) -> DataFrame:
+    """Extension: buy against sell volume per sliding window, from -1 to 1; ``final`` as in ``velocity``."""
     def volume(side: str) -> Column:
         return F.sum(F.when(F.col("side") == side, F.col("qty_d")).otherwise(0.0))
 
     buy, sell = F.col("buy_volume"), F.col("sell_volume")
     sums = {"buy": volume("BUY"), "sell": volume("SELL")}
     return (
-        _sliding_sums(trades, width, slide, ["symbol"], sums)
+        _sliding_sums(trades, width, slide, ["symbol"], sums, final)
         .select(
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),

@@ -379,8 +379,17 @@ sides AS (
     "stream_vwap_latest": LATEST_BARS,
     "stream_velocity": f"WITH {TRADES}, {SLIDING_60} {VELOCITY}",
     "stream_moving_avg": MOVING_AVG,
+    "stream_velocity_final": f"""WITH {TRADES}, {SLIDING_60}, velocity AS ({VELOCITY})
+  SELECT * FROM velocity WHERE {CLOSED}""",
+    "stream_moving_avg_final": f"""WITH {TRADES} SELECT * FROM ({MOVING_AVG}) WHERE {CLOSED}""",
     "stream_restart": LATEST_BARS,
     "stream_late_drop": f"WITH {TRADES} {_bars(where=f'NOT {LATE}')}",
+    "stream_late_counts": f"""WITH {TRADES}
+  SELECT count(*) AS seen, count(*) FILTER (NOT {LATE}) AS kept, count(*) FILTER ({LATE}) AS late FROM trades""",
+    "stream_open_bars": f"""WITH {TRADES},
+fed AS (SELECT * FROM trades WHERE trade_ms < {EPOCH_MS + 1000 * CUTS[1]})
+  SELECT DISTINCT {MINUTE} AS window_start, {MINUTE} + INTERVAL 1 MINUTE AS window_end, symbol FROM fed
+  WHERE {MINUTE} + INTERVAL 1 MINUTE > (SELECT max(event_ts) FROM fed) - INTERVAL 30 SECOND""",
     "stream_late_kept_rows": f"WITH {TRADES} SELECT symbol, trade_id, event_ts, side FROM trades",
     "stream_four_queries": f"""WITH {BARS}, {SLIDING_60},
 long_sliding AS (

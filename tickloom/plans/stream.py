@@ -18,7 +18,9 @@ from tickloom.plans.inputs import events, parts
 from tickloom.sources import (
     file_frames, file_history, frames_from_events, symbol_metadata, symbol_reference,
 )
+from tickloom.streaming.audit import open_windows
 from tickloom.streaming.jobs import start, start_console_job
+from tickloom.streaming.progress import Progress
 from tickloom.streaming.scratch import scratch
 from tickloom.streaming.sinks import (
     BatchWriter, create_bars_table, create_trades_table, keyed_bar_writer, keyed_trade_writer,
@@ -42,12 +44,16 @@ def _feed(
     mode: str,
     sink: Callable,
     name: str,
+    progress: Progress | None = None,
 ) -> None:
     """Land each part, then run the query until it has consumed it."""
     for part in feed:
         frames_from_events(part).write.mode("append").parquet(f"{home}/frames")
         stream = build(op.parse_trades(file_frames(spark, f"{home}/frames")))
-        _finish(start(stream, name, mode, f"{home}/checkpoints", sink, once=True))
+        query = start(stream, name, mode, f"{home}/checkpoints", sink, once=True)
+        _finish(query)
+        if progress:
+            progress.settle(query)
 
 
 def _to_files(path: str):
@@ -66,11 +72,11 @@ def _rows(spark, sf_dir, name, build, feed=None) -> DataFrame:
     return spark.read.parquet(f"{home}/out")
 
 
-def _latest(spark, name, build, feed, *keys) -> DataFrame:
+def _latest(spark, name, build, feed, *keys, progress=None) -> DataFrame:
     """Run an update query into a versioned sink and read the newest version of each key."""
     home = scratch(spark, name)
     sink = _to_batches(version_writer(f"{home}/out"))
-    _feed(spark, home, feed, build, "update", sink, name)
+    _feed(spark, home, feed, build, "update", sink, name, progress)
     newest = op.newest_version(read_versions(spark, f"{home}/out"), *keys)
     return newest.drop("query_id", "batch_id", "ingested_at")
 
@@ -100,6 +106,16 @@ def stream_moving_avg(spark, sf_dir):
         "symbol", "window_start")
 
 
+def stream_velocity_final(spark, sf_dir):
+    return _rows(
+        spark, sf_dir, "stream_velocity_final", lambda t: op.velocity(t, final=True), parts(spark, sf_dir))
+
+
+def stream_moving_avg_final(spark, sf_dir):
+    return _rows(
+        spark, sf_dir, "stream_moving_avg_final", lambda t: op.moving_avg(t, final=True), parts(spark, sf_dir))
+
+
 def stream_restart(spark, sf_dir):
     halves = parts(spark, sf_dir, (3631,))
     return _latest(spark, "stream_restart", op.vwap, halves, "symbol", "window_start")
@@ -117,6 +133,26 @@ def stream_late_drop(spark, sf_dir):
     return _latest(spark, "stream_late_drop", op.vwap, feed, "symbol", "window_start")
 
 
+def stream_late_counts(spark, sf_dir):
+    """Trades that reached the bars and trades that came too late, by what the listener was told."""
+    name, seen = "stream_late_counts", F.count(F.lit(1)).alias("rows")
+    with Progress(spark) as progress:
+        bars = _latest(
+            spark, name, lambda t: op.vwap(t.observe("trades", seen)), _with_latecomers(spark, sf_dir),
+            "symbol", "window_start", progress=progress)
+    total = F.lit(progress.total(name, "trades.rows")).cast("long")
+    kept = bars.agg(F.coalesce(F.sum("trade_count"), F.lit(0)).alias("kept"))
+    return kept.select(total.alias("seen"), "kept", (total - F.col("kept")).alias("late"))
+
+
+def stream_open_bars(spark, sf_dir):
+    """Bars that a restart after the second part would go on with, from the checkpoint's state."""
+    name, home = "stream_open_bars", scratch(spark, "stream_open_bars")
+    sink = _to_batches(version_writer(f"{home}/out"))
+    _feed(spark, home, parts(spark, sf_dir)[:2], op.vwap, "update", sink, name)
+    return open_windows(spark, f"{home}/checkpoints/{name}")
+
+
 def stream_late_kept_rows(spark, sf_dir):
     return _rows(
         spark, sf_dir, "stream_late_kept_rows",
@@ -133,8 +169,9 @@ def stream_four_queries(spark, sf_dir):
         f"{home}/checkpoints",
         sink=lambda w, name: w.foreachBatch(version_writer(f"{home}/{name}")),
         once=True,
+        landed=f"{home}/parsed",
     )
-    names = [query.name for query in running]
+    names = [query.name for query in running[1:]]
     _finish(*running)
     counts = [
         read_versions(spark, f"{home}/{name}")
@@ -219,8 +256,12 @@ QUERIES = {
     "stream_vwap_latest": stream_vwap_latest,
     "stream_velocity": stream_velocity,
     "stream_moving_avg": stream_moving_avg,
+    "stream_velocity_final": stream_velocity_final,
+    "stream_moving_avg_final": stream_moving_avg_final,
     "stream_restart": stream_restart,
     "stream_late_drop": stream_late_drop,
+    "stream_late_counts": stream_late_counts,
+    "stream_open_bars": stream_open_bars,
     "stream_late_kept_rows": stream_late_kept_rows,
     "stream_four_queries": stream_four_queries,
     "raw_frames": raw_frames,

@@ -3,12 +3,12 @@ from tickloom.sources.raw import (
     file_frames, file_history, kafka_frames, kafka_history,
 )
 from tickloom.sources.reference import (
-    load_symbol_metadata, publish_symbol_metadata, symbol_metadata, symbol_reference,
-    tracked_symbols,
+    following_metadata, load_symbol_metadata, publish_symbol_metadata, symbol_metadata,
+    symbol_reference, tracked_symbols,
 )
 
 __all__ = [
-    "file_frames", "file_history", "frames_from_events", "kafka_frames", "kafka_history",
+    "file_frames", "file_history", "following_metadata", "frames_from_events", "kafka_frames", "kafka_history",
     "load_symbol_metadata", "publish_symbol_metadata", "symbol_metadata",
     "symbol_reference", "tracked_symbols",
 ]

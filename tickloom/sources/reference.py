@@ -8,6 +8,10 @@ shuffled join when a user brings a table that is not.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+import time
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.schema import (
@@ -39,23 +43,92 @@ def symbol_metadata(spark: SparkSession) -> DataFrame:
     return _inline_table(spark, rows, METADATA_SCHEMA.names)
 
 
-def publish_symbol_metadata(spark: SparkSession, path: str) -> None:
-    """Put the metadata on shared storage as CSV with a header, replacing what is there."""
-    (
-        symbol_metadata(spark).coalesce(1)
-        .write.mode("overwrite").option("header", "true").csv(path)
-    )
+#: The file that names the current version's folder.
+POINTER = "_current"
+
+
+def publish_symbol_metadata(
+    spark: SparkSession, path: str, metadata: DataFrame | None = None, keep: int = 2
+) -> str:
+    """Put metadata on shared storage as CSV with a header, beside jobs that read what was there.
+
+    Each publication is a folder of its own. When it is whole a small file is replaced, in one step,
+    that names it; readers follow that file. The last ``keep`` versions stay, so a batch that
+    is reading the one before is not disturbed. Returns the new folder.
+    """
+    version = f"version-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    rows = symbol_metadata(spark) if metadata is None else metadata
+    rows.select(*METADATA_SCHEMA.names).coalesce(1).write.option("header", "true").csv(f"{path}/{version}")
+    _, system = _file_system(spark, path)
+    named = _path(spark, f"{path}/.{version}")
+    out = system.create(named, True)
+    out.write(version.encode())
+    out.close()
+    fs = spark._jvm.org.apache.hadoop.fs
+    how = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+    how[0] = fs.Options.Rename.OVERWRITE
+    fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration()).rename(
+        system.makeQualified(named), system.makeQualified(_path(spark, f"{path}/{POINTER}")), how)
+    stored = sorted(s.getPath().getName() for s in system.globStatus(_path(spark, f"{path}/version-*")))
+    for old in stored[:-keep]:
+        if old != version:
+            system.delete(_path(spark, f"{path}/{old}"), True)
+    return f"{path}/{version}"
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = _path(spark, path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """The folder to read: the one that was published last, or the path itself if it holds plain CSV."""
+    place, system = _file_system(spark, f"{path}/{POINTER}")
+    if not system.exists(place):
+        return path
+    lines = system.open(place)
+    try:
+        return f"{path}/{lines.readLine()}"
+    finally:
+        lines.close()
+
+
+def _read_metadata(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(METADATA_SCHEMA).option("header", "true").csv(folder)
 
 
 def load_symbol_metadata(spark: SparkSession, path: str, cache: bool = False) -> DataFrame:
-    """Read metadata CSV. ``cache`` keeps it for jobs that join it in every micro-batch."""
-    df = spark.read.schema(METADATA_SCHEMA).option("header", "true").csv(path)
+    """Read metadata CSV as it is now. ``cache`` keeps it for jobs that join it in every micro-batch."""
+    df = _read_metadata(spark, current_version(spark, path))
     if cache:
         df = df.cache()
         df.count()
     return df
 
 
+def following_metadata(spark: SparkSession, path: str) -> Callable[[], DataFrame]:
+    """A function that gives the metadata published last, for joins inside a running job.
+
+    Each call looks at the file that names the version; a version is read once, and kept.
+    """
+    held: dict[str, DataFrame] = {}
+
+    def current() -> DataFrame:
+        folder = current_version(spark, path)
+        if folder not in held:
+            for old in held.values():
+                old.unpersist()
+            held.clear()
+            held[folder] = _read_metadata(spark, folder).cache()
+        return held[folder]
+
+    return current
+
+
 def _clean(text: Column) -> Column:
     return F.upper(F.btrim(text, F.lit(" \t\r\n")))
 

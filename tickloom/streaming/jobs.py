@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tickloom.operators.enrich import vwap_with_class
 from tickloom.operators.windows import moving_avg, velocity, vwap, whales
 from tickloom.streaming.sinks import (
-    create_bars_table, create_trades_table, keyed_bar_writer, keyed_trade_writer,
+    Static, create_bars_table, create_trades_table, keyed_bar_writer, keyed_trade_writer,
     table_bar_writer, table_trade_writer,
 )
 
@@ -50,6 +50,28 @@ def start(
     return sink(writer, name).start()
 
 
+def console_branches(
+    trades: DataFrame, reference: DataFrame, threshold: float = 50000.0
+) -> list[tuple[str, str, DataFrame]]:
+    """Name, output mode and rows of bars, velocity, large trades and moving average."""
+    return [
+        ("vwap_1min", "update", vwap_with_class(trades, reference)),
+        ("trade_velocity_30s", "update", velocity(trades)),
+        ("whale_alerts", "append", whales(trades, threshold)),
+        ("moving_avg_price", "update", moving_avg(trades)),
+    ]
+
+
+def landed_trades(
+    spark: SparkSession, landed: str, schema: T.StructType, lateness: str = "30 seconds"
+) -> DataFrame:
+    """Parsed trades as a stream, from the folder a parsing query lands them in."""
+    plain = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+    place = spark._jvm.org.apache.hadoop.fs.Path(landed)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+    return spark.readStream.schema(plain).parquet(landed).withWatermark("event_ts", lateness)
+
+
 def start_console_job(
     trades: DataFrame,
     reference: DataFrame,
@@ -57,16 +79,24 @@ def start_console_job(
     threshold: float = 50000.0,
     sink: Sink = console_sink,
     once: bool = False,
+    landed: str | None = None,
 ) -> list[StreamingQuery]:
-    """Bars, velocity, large trades and moving average, each as its own query."""
-    branches = [
-        ("vwap_1min", "update", vwap_with_class(trades, reference)),
-        ("trade_velocity_30s", "update", velocity(trades)),
-        ("whale_alerts", "append", whales(trades, threshold)),
-        ("moving_avg_price", "update", moving_avg(trades)),
-    ]
-    return [
-        start(frame, name, mode, checkpoint, sink, once) for name, mode, frame in branches
+    """Bars, velocity, large trades and moving average, each as its own query.
+
+    With ``landed`` a first query, ``parsed_trades``, parses the frames once and lands trades in that
+    folder; the four read it, each only the columns it needs. Spark's own log of the folder tells
+    them which files count, so a trade is landed and read once whatever is restarted.
+    """
+    first = []
+    if landed:
+        first = [start(trades, "parsed_trades", "append", checkpoint,
+                       lambda w, _: w.format("parquet").option("path", landed), once)]
+        if once:  # the others stop when they have caught up with what is landed
+            first[0].awaitTermination()
+        trades = landed_trades(trades.sparkSession, landed, trades.schema)
+    return first + [
+        start(frame, name, mode, checkpoint, sink, once)
+        for name, mode, frame in console_branches(trades, reference, threshold)
     ]
 
 
@@ -103,13 +133,16 @@ def start_table_job(
 
 def start_keyed_job(
     trades: DataFrame,
-    metadata: DataFrame,
+    metadata: Static,
     path: str,
     checkpoint: str,
     final_bars: bool = False,
     once: bool = False,
 ) -> list[StreamingQuery]:
-    """Enriched trades and bars to keyed tables under ``path``."""
+    """Enriched trades and bars to keyed tables under ``path``.
+
+    ``metadata`` is a table, or a function that gives the current one to every batch.
+    """
     return [
         start(trades, "keyed_trades", "append", checkpoint,
               lambda w, _: w.foreachBatch(keyed_trade_writer(metadata, f"{path}/trades")), once),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.operators import parse_trades
 from tickloom.sources import (
-    file_frames, kafka_frames, load_symbol_metadata, symbol_metadata, symbol_reference,
+    file_frames, following_metadata, kafka_frames, symbol_metadata, symbol_reference,
 )
 from tickloom.streaming.jobs import (
     await_any, start_console_job, start_keyed_job, start_table_job,
@@ -55,6 +55,8 @@ def options(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--metadata", default=env("SYMBOL_METADATA_PATH"))
     parser.add_argument("--threshold", type=float,
                         default=float(env("WHALE_THRESHOLD_USD", "50000")))
+    parser.add_argument("--parsed", default=env("PARSED_DIR"),
+                        help="parse once into this folder for the console queries")
     parser.add_argument("--trades-table", default="trades")
     parser.add_argument("--bars-table", default="vwap_bars")
     parser.add_argument("--final-bars", action="store_true")
@@ -79,12 +81,13 @@ def run(spark: SparkSession, opts: argparse.Namespace) -> list:
     trades: DataFrame = parse_trades(raw)
     if opts.job == "console":
         return start_console_job(
-            trades, symbol_reference(spark), checkpoint, opts.threshold, once=opts.once)
+            trades, symbol_reference(spark), checkpoint, opts.threshold, once=opts.once,
+            landed=opts.parsed)
     if opts.job == "tables":
         return start_table_job(
             spark, trades, checkpoint, opts.trades_table, opts.bars_table,
             opts.final_bars, opts.once, None if opts.hive else output())
-    metadata = load_symbol_metadata(spark, opts.metadata, cache=True) if opts.metadata \
+    metadata = following_metadata(spark, opts.metadata) if opts.metadata \
         else symbol_metadata(spark)
     return start_keyed_job(
         trades, metadata, output(), checkpoint, opts.final_bars, opts.once)

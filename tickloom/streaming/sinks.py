@@ -35,6 +35,13 @@ log = logging.getLogger(__name__)
 
 BatchWriter = Callable[[DataFrame, int], None]
 
+# A static table, or what gives the current one to every batch.
+Static = DataFrame | Callable[[], DataFrame]
+
+
+def _now(table: Static) -> DataFrame:
+    return table if isinstance(table, DataFrame) else table()
+
 
 def _property(batch: DataFrame, name: str) -> str | None:
     return batch.sparkSession.sparkContext.getLocalProperty(name)
@@ -298,20 +305,20 @@ TRADE_DAY = "timestamp_millis(trade_ts)"
 BAR_DAY = "window_start"
 
 
-def keyed_trade_writer(metadata: DataFrame, path: str) -> BatchWriter:
+def keyed_trade_writer(metadata: Static, path: str) -> BatchWriter:
     """Put enriched trades by row key; the last write of a key wins.
 
     Trades without a symbol or id have no key. They are kept beside the others, see
     ``read_rejects``, and never replace one another.
     """
     return version_writer(
-        path, lambda batch: trade_cells(enrich_trades(batch, metadata)), "row_key", TRADE_DAY)
+        path, lambda batch: trade_cells(enrich_trades(batch, _now(metadata))), "row_key", TRADE_DAY)
 
 
-def keyed_bar_writer(metadata: DataFrame, path: str) -> BatchWriter:
+def keyed_bar_writer(metadata: Static, path: str) -> BatchWriter:
     """Put enriched bars by row key; the last write of a key wins."""
     return version_writer(
-        path, lambda batch: bar_cells(enrich_bars(batch, metadata)), "row_key", BAR_DAY)
+        path, lambda batch: bar_cells(enrich_bars(batch, _now(metadata))), "row_key", BAR_DAY)
 
 
 def _current(versions: DataFrame, *keys: str) -> DataFrame:
