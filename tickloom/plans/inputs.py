@@ -16,6 +16,9 @@ AS_OF = "2024-01-01 02:00:00"  # end of the derived trades
 # so the bars at the cuts are stored in two versions.
 CUTS = (2417, 4843)
 
+# Of the stream of rolling days: a tenth of the time between events, so that trades fill three days.
+DAYS_SQUEEZE = 10
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickloom.plans.inputs import AS_OF, CUTS
+from tickloom.plans.inputs import AS_OF, CUTS, DAYS_SQUEEZE
 from tickloom.schema import METADATA_ROWS, REFERENCE_ROWS, TRACKED_SYMBOLS
 from tickloom.sources.events import (
     EPOCH_MS, EVENT_SYMBOLS, OTHER_BASE, OTHER_SYMBOL, TICKER_EVERY, TIME_SQUEEZE,
@@ -422,4 +422,8 @@ long_sliding AS (
          coalesce(m.market_cap_tier, 'Unknown') AS market_cap_tier
   FROM bars LEFT JOIN metadata m USING (symbol)""",
 }
+# The same trades over three days.
+SLOW = BARS.replace(f"// {TIME_SQUEEZE} AS trade_ms", f"// {DAYS_SQUEEZE} AS trade_ms")
+ORACLE["stream_high_low_24h"] = ORACLE["high_low_24h"].replace(BARS, SLOW).replace(
+    "FROM bars", f"FROM bars WHERE {CLOSED}")
 ORACLE["stream_whales"] = ORACLE["whale_alerts"]

@@ -14,10 +14,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom import operators as op
-from tickloom.plans.inputs import events, parts
+from tickloom.plans.inputs import DAYS_SQUEEZE, events, parts
 from tickloom.sources import (
     file_frames, file_history, frames_from_events, symbol_metadata, symbol_reference,
 )
+from tickloom.sources.events import TIME_SQUEEZE
 from tickloom.streaming.audit import open_windows
 from tickloom.streaming.jobs import start, start_console_job
 from tickloom.streaming.progress import Progress
@@ -45,10 +46,11 @@ def _feed(
     sink: Callable,
     name: str,
     progress: Progress | None = None,
+    squeeze: int = TIME_SQUEEZE,
 ) -> None:
     """Land each part, then run the query until it has consumed it."""
     for part in feed:
-        frames_from_events(part).write.mode("append").parquet(f"{home}/frames")
+        frames_from_events(part, squeeze).write.mode("append").parquet(f"{home}/frames")
         stream = build(op.parse_trades(file_frames(spark, f"{home}/frames")))
         query = start(stream, name, mode, f"{home}/checkpoints", sink, once=True)
         _finish(query)
@@ -153,6 +155,19 @@ def stream_open_bars(spark, sf_dir):
     return open_windows(spark, f"{home}/checkpoints/{name}")
 
 
+def stream_high_low_24h(spark, sf_dir):
+    home, provider = scratch(spark, "stream_high_low_24h"), "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    # custom state is kept by this store only
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        _feed(spark, home, parts(spark, sf_dir), lambda t: op.high_low_24h_stream(op.vwap(t)), "append",
+              _to_files(f"{home}/out"), "stream_high_low_24h", squeeze=DAYS_SQUEEZE)
+    finally:
+        spark.conf.set(provider, before)
+    return spark.read.parquet(f"{home}/out")
+
+
 def stream_late_kept_rows(spark, sf_dir):
     return _rows(
         spark, sf_dir, "stream_late_kept_rows",
@@ -260,6 +275,7 @@ QUERIES = {
     "stream_moving_avg_final": stream_moving_avg_final,
     "stream_restart": stream_restart,
     "stream_late_drop": stream_late_drop,
+    "stream_high_low_24h": stream_high_low_24h,
     "stream_late_counts": stream_late_counts,
     "stream_open_bars": stream_open_bars,
     "stream_late_kept_rows": stream_late_kept_rows,

@@ -17,8 +17,11 @@ TIME_SQUEEZE = 360        # 30 days of events become 2 hours of trades
 TICKER_EVERY = 50         # every 50th frame is a ticker frame, which the parser must drop
 
 
-def frames_from_events(events: DataFrame) -> DataFrame:
-    """One JSON frame per event, as the ``value`` bytes a Kafka record would hold."""
+def frames_from_events(events: DataFrame, squeeze: int = TIME_SQUEEZE) -> DataFrame:
+    """One JSON frame per event, as the ``value`` bytes a Kafka record would hold.
+
+    ``squeeze`` seconds between events become one between trades.
+    """
     kind = F.col("event_type")
     symbol, base = F.lit(OTHER_SYMBOL), F.lit(OTHER_BASE)
     for event_type, name, price in reversed(EVENT_SYMBOLS):
@@ -28,7 +31,7 @@ def frames_from_events(events: DataFrame) -> DataFrame:
     # Both ends are wall-clock times of a session in UTC.
     start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     elapsed_us = F.timestamp_diff("MICROSECOND", start, F.col("ts").cast("timestamp_ntz"))
-    trade_ms = EPOCH_MS + F.floor(elapsed_us / (1000 * TIME_SQUEEZE))
+    trade_ms = EPOCH_MS + F.floor(elapsed_us / (1000 * squeeze))
     return events.select(
         F.to_json(
             F.struct(
