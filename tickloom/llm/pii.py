@@ -18,8 +18,10 @@ without a candidate to learn from, only strict matches count; other columns are
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 import hashlib
+from itertools import islice
 import math
 import re
 
@@ -33,9 +35,12 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 20_000
 #: Positives that each fold must have; with fewer only strict matches count.
 LEAST = 20
+#: Candidates that are scored at once.
+CHUNK = 20_000
 #: The feature that tells a cue word.
 CUE = 21
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+_DIGITS = frozenset("0123456789")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _DOTTED_RUN = re.compile(r"[0-9.]{7,}")
@@ -47,6 +52,10 @@ _PART = re.compile(r"[A-Za-z0-9-]{1,63}")
 _DOT = re.compile(r" ?(?:\.|\(dot\)|\[dot\]| dot ) ?", re.I)
 _RUN = re.compile(r"[0-9]+(?:[\x20().:/-]{1,3}[0-9]+)*")
 _WORD = re.compile(r"[^\W\d_]+")
+_NUMBER = re.compile(r"[0-9]+")
+_TAIL = re.compile(r"[A-Za-z0-9]*\Z")
+_DOT_WORD = re.compile("dot", re.I)
+_AT_SIGN = re.compile(r"[(\[]at[)\]]", re.I)
 
 
 def luhn(digits: str) -> bool:
@@ -93,7 +102,10 @@ def strict(text: str) -> list[tuple[int, int, int]]:
 
 
 def _spelled(text: str) -> Iterator[tuple[int, int]]:
-    """Addresses around each sign or word for "at", with one to four dots in the domain, whatever stands for them."""
+    """Addresses around each sign or word for "at", with one to four dots in the domain, whatever stands for them.
+
+    64 characters of a local part and 63 of a label are what mail allows; a longer run ends or begins there.
+    """
     for m in _AT.finditer(text):
         start = m.start()
         while start > max(0, m.start() - 64) and text[start - 1] in _LOCAL:
@@ -114,7 +126,8 @@ def _groups(text: str) -> Iterator[tuple[int, int, int]]:
             start, n = run.start() + low, 0
             while start > 0 and text[start - 1] in "+(" and run.start() + low - start < 2:
                 start -= 1
-            for s, e in own[k:]:
+            for j in range(k, len(own)):
+                s, e = own[j]
                 n += e - s
                 if n > 19:
                     break
@@ -122,19 +135,41 @@ def _groups(text: str) -> Iterator[tuple[int, int, int]]:
                     yield start, run.start() + e, n
 
 
-def candidates(text: str, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Proposed spans that may overlap each other and the strict matches, which are among them."""
-    found = set(matches)
-    found.update((s, e, 0) for s, e in _spelled(text))
+def proposed(text: str) -> Iterator[tuple[int, int, int]]:
+    """Proposed spans, which may overlap each other and strict matches. A place begins a bounded number of them."""
+    yield from ((s, e, 0) for s, e in dict.fromkeys(_spelled(text)))
     for s, e, n in _groups(text):
         part = text[s:e]
         if n <= 12 and part.count(".") == 3 and len(re.findall("[0-9]+", part)) == 4:
-            found.add((s, e, 1))
-        if n >= 12:
-            found.add((s, e, 2))
+            yield s, e, 1
+        if n >= 12 and luhn("".join(filter(_DIGITS.__contains__, part))):
+            yield s, e, 2
         if 7 <= n <= 15:
-            found.add((s, e, 3))
-    return sorted(found)
+            yield s, e, 3
+
+
+class Covered:
+    """Disjoint spans in order of place."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for s, e, _ in sorted(spans):
+            if self.ends and s < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def meets(self, start: int, end: int) -> bool:
+        at = bisect_left(self.starts, end) - 1
+        return at >= 0 and self.ends[at] > start
+
+    def add(self, start: int, end: int) -> None:
+        """A span that meets none."""
+        at = bisect_left(self.starts, start)
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
 
 
 def loosened(part: str, kind: int, way: int) -> str:
@@ -159,25 +194,32 @@ CUES = (
 )
 
 
-def features(text: str, start: int, end: int, kind: int) -> list[float]:
+def _context(text: str, start: int) -> tuple[str, list[str], int, str]:
+    """What stands before a place: the last character, the last words, the quotes open, and the last sign."""
+    before = text[max(0, start - 24):start]
+    return (before[-1:], [w.lower() for w in _WORD.findall(before)[-3:]], text[max(0, start - 40):start].count("\"") % 2,
+            before[-2:].strip()[-1:])
+
+
+def features(text: str, start: int, end: int, kind: int, context: tuple | None = None) -> list[float]:
     """Form and context of a candidate."""
+    b, cue, quotes, last = context or _context(text, start)
     part = text[start:end]
-    digits = "".join(c for c in part if c in "0123456789")
-    groups = [len(g) for g in re.findall(r"[0-9]+", part)]
-    before, after = text[max(0, start - 24):start], text[end:end + 8]
-    cue = [w.lower() for w in _WORD.findall(before)[-3:]]
-    b, a = before[-1:], after[:1]
+    groups = _NUMBER.findall(part)
+    sizes = [len(g) for g in groups]
+    digits = "".join(groups)
+    after = text[end:end + 2]
+    a = after[:1]
+    word = _TAIL.search(part).group()
     return [
-        kind, end - start, len(digits), len(groups), max(groups, default=0), min(groups, default=0),
+        kind, end - start, len(digits), len(groups), max(sizes, default=0), min(sizes, default=0),
         len(digits) / (end - start), part.count("."), part.count("-"), part.count(" "), part.count("@"),
         part.startswith("+"), "(" in part, luhn(digits) if digits else -1,
-        max((int(g) for g in re.findall(r"[0-9]{1,9}", part)), default=-1) if kind == 1 else -1,
+        max((int(g[k:k + 9]) for g in groups for k in range(0, len(g), 9)), default=-1) if kind == 1 else -1,
         b.isalnum(), a.isalnum(), b.isspace() or not b, a.isspace() or not a, b in "\"'=:#", a in "\"'.,;!",
-        any(w in CUES[kind] for w in cue), sum(c.isalpha() for c in part) / (end - start),
-        text[max(0, start - 40):start].count("\"") % 2,
-        len(re.findall("dot", part, re.I)), len(re.findall(r"[(\[]at[)\]]", part, re.I)), len(re.split(r"[^A-Za-z0-9]", part)[-1]),
-        part[-1:].isalpha() and re.split(r"[^A-Za-z0-9]", part)[-1][:1].isupper(), part.count("/") + part.count(":"),
-        text[end:end + 2].strip()[:1].isdigit() or text[max(0, start - 2):start].strip()[-1:].isdigit(),
+        any(w in CUES[kind] for w in cue), sum(map(str.isalpha, part)) / (end - start), quotes,
+        len(_DOT_WORD.findall(part)), len(_AT_SIGN.findall(part)), len(word), part[-1:].isalpha() and word[:1].isupper(),
+        part.count("/") + part.count(":"), after.strip()[:1].isdigit() or last.isdigit(),
     ]
 
 
@@ -188,8 +230,9 @@ def examples(text: str) -> Iterator[tuple[list[float], bool]]:
     text's own loose forms those right after a cue word of their kind are left out, as they may be either; others are negatives.
     """
     matches = strict(text)
-    for s, e, kind in candidates(text, matches):
-        if all(e <= b or f <= s for b, f, _ in matches):
+    known = Covered(matches)
+    for s, e, kind in proposed(text):
+        if not known.meets(s, e):
             x = features(text, s, e, kind)
             if not x[CUE]:
                 yield x, False
@@ -198,19 +241,22 @@ def examples(text: str) -> Iterator[tuple[list[float], bool]]:
         low = max(0, s - 64)
         around = text[low:s] + loose + text[e:e + 64]
         s, e = s - low, s - low + len(loose)
-        for b, f, other in candidates(around, []):
+        for b, f, other in proposed(around):
             if other == kind and b < e and s < f:
                 yield features(around, b, f, kind), (b, f) == (s, e)
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        fold, x, y = [], [], []
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for own, label in examples(text or ""):
-                fold.append(key)
-                x.append([float(v) for v in own])
-                y.append(label)
+    """At most ``CHUNK`` at a time, whatever a text holds."""
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for own, label in examples(text or ""):
+                    yield key, [float(v) for v in own], label
+
+    held = rows()
+    while part := list(islice(held, CHUNK)):
+        fold, x, y = zip(*part)
         yield pa.RecordBatch.from_arrays(
             [pa.array(fold, pa.int32()), pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.bool_())], ["fold", "x", "y"])
 
@@ -253,18 +299,37 @@ class Detector:
     def spans(self, texts: list[str]) -> list[tuple[list, list]]:
         """For each text its strict matches and all redacted spans, (start, end, kind) each."""
         matches = [strict(t) for t in texts]
-        proposed = [candidates(t, m) for t, m in zip(texts, matches)]
-        x = [features(t, *c) for t, own in zip(texts, proposed) for c in own]
-        score = self.probability(np.array(x, float)) if x else np.zeros(0)
-        out, k = [], 0
-        for own, found in zip(proposed, matches):
-            rated = score[k:k + len(own)]
-            k += len(own)
-            taken = list(found)
-            for p, c in sorted(zip(-rated, own)):
-                if -p >= self.threshold and all(c[1] <= s or e <= c[0] for s, e, _ in taken):
-                    taken.append(c)
-            out.append((found, sorted(taken, key=lambda v: (v[0], v[2]))))
+        rated = self._rated(texts, matches)
+        out = []
+        for found, own in zip(matches, rated):
+            taken, more = Covered(found), []
+            for _, (s, e, kind) in sorted(own):
+                if not taken.meets(s, e):
+                    taken.add(s, e)
+                    more.append((s, e, kind))
+            out.append((found, sorted(found + more, key=lambda v: (v[0], v[2]))))
+        return out
+
+    def _rated(self, texts: list[str], matches: list[list]) -> list[list]:
+        """For each text (-probability, candidate) of those that reach the threshold; ``CHUNK`` are in memory at once."""
+        out: list[list] = [[] for _ in texts]
+        if self.trees is None:
+            return out
+
+        def new() -> Iterator[tuple]:
+            for k, (text, found) in enumerate(zip(texts, matches)):
+                known, start, context = Covered(found), None, None
+                for c in proposed(text):
+                    if not known.meets(c[0], c[1]):
+                        if c[0] != start:
+                            start, context = c[0], _context(text, c[0])
+                        yield k, c, features(text, *c, context)
+
+        held = new()
+        while part := list(islice(held, CHUNK)):
+            score = self.probability(np.array([x for _, _, x in part], float))
+            for at in np.flatnonzero(score >= self.threshold).tolist():
+                out[part[at][0]].append((-score[at], part[at][1]))
         return out
 
 
