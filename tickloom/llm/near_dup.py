@@ -12,7 +12,8 @@ then lie in different components, and that nothing keeps apart, neither sizes, n
 other class or in none of the other component, are confirmed one by one. A link left out this way joins what is already one component.
 
 Defined cases: a null or empty text, or one of blanks, has no shingles and links with nothing; rows that repeat a
-doc_id repeat its result; rows without doc_id are returned with a null component; other columns are ignored.
+doc_id, with its text or another, and rows without one are documents of their own; a component's id is the smallest
+doc_id in it, null where no row of it has one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tickloom.llm.components import components
-from tickloom.llm.store import Workspace
+from tickloom.llm.store import Workspace, free_name, own_ids
 from tickloom.llm.text import mix, pieces, raw, sets, shingles
 
 HASHES, BANDS, LOW_BITS = 128, 32, 2
@@ -158,13 +159,46 @@ def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id."""
+    """One row per row of ``docs``: doc_id, n_shingles, component_id.
+
+    Where doc_ids repeat or lack, rows are numbered and the numbers stand for them until the end.
+    """
+    if own_ids(docs):
+        return _components(docs, percent, size)
+    rows = Workspace(docs.sparkSession, "near_dup_rows").numbered(docs.select("doc_id", "text"), "row")
+    found = _numbered_components(rows, "row", percent, size)
+    least = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return found.join(least, "component").select("doc_id", "n_shingles", "component_id")
+
+
+def _numbered_components(rows: DataFrame, number: str, percent: int, size: int) -> DataFrame:
+    """The number, doc_id, n_shingles and component (a number) of every row."""
+    found = _components(rows.select(F.col(number).alias("doc_id"), "text"), percent, size)
+    found = found.select(F.col("doc_id").alias(number), "n_shingles", F.col("component_id").alias("component"))
+    return rows.select(number, "doc_id").join(found, number)
+
+
+def keep_one(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id, or any if none has one."""
+    if own_ids(docs):
+        gone = _components(docs, percent, size).where("doc_id <> component_id").select("doc_id")
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    number = free_name(docs, "row")
+    rows = Workspace(docs.sparkSession, "near_dup_rows").numbered(docs, number)
+    found = _numbered_components(rows, number, percent, size)
+    stays = found.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", number))[number].alias(number)).select(number)
+    return rows.join(stays, number, "left_semi").select(*docs.columns)
+
+
+def _components(docs: DataFrame, percent: int, size: int) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row, where each row has a doc_id of its own."""
     space = Workspace(docs.sparkSession, "near_dup")
     texts = docs.select("doc_id", "text")
     sketches = space.save(sketch(texts, size), "sketches")
-    some = sketches.where("n > 0 and doc_id is not null")
+    some = sketches.where("n > 0")
     classes = some.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("doc_id"))
-    chosen = space.save(some.join(classes.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "chosen")
+    chosen = space.save(some.join(classes.select("doc_id"), "doc_id", "left_semi"), "chosen")
 
     # Band members with company, and each one's company over all bands.
     entries = chosen.select("doc_id", F.explode("bands").alias("band"))
@@ -174,7 +208,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     signed = chosen.select("doc_id", "n", "s0", "s1", "s2", "s3").join(company, "doc_id")
     signed = space.save(signed, "signed")
     full = space.save(
-        texts.join(signed.select("doc_id").hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        texts.join(signed.select("doc_id").hint("merge"), "doc_id", "left_semi")
         .mapInArrow(_full_sets(size), "doc_id long, shingles binary"), "full")
 
     # First each class against its most similar centre.
@@ -246,7 +280,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     final = components(links.unionByName(more), space, "final")
 
     found = (
-        some.select("doc_id", "set_a", "set_b").distinct()
+        some.select("doc_id", "set_a", "set_b")
         .join(classes.withColumnRenamed("doc_id", "class"), ["set_a", "set_b"])
         .join(final.withColumnRenamed("doc_id", "class"), "class", "left")
         .select("doc_id", F.coalesce("component", "class").alias("component"))

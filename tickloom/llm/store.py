@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -37,6 +37,20 @@ def ready(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = ":".join([ROOT, *paths])
 
 
+def own_ids(rows: DataFrame, column: str = "doc_id") -> bool:
+    """Whether every row has an id of its own, by one pass over that column."""
+    shared = rows.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
+    return shared.where((F.col("rows") > 1) | F.col(column).isNull()).isEmpty()
+
+
+def free_name(rows: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {column.lower() for column in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Workspace:
     """A fresh shared folder of one run. ``save`` writes a table there and reads it again.
 
@@ -61,6 +75,10 @@ class Workspace:
             self.spark.conf.set(self.CLEANUP, before)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def numbered(self, rows: DataFrame, column: str) -> DataFrame:
+        """The rows with a number each, stored, so that it stays the same."""
+        return self.save(rows.withColumn(column, F.monotonically_increasing_id()), f"numbered_{column}")
+
     def drop(self, name: str) -> None:
         """Delete a table of this run that a later one has replaced."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
