@@ -14,8 +14,8 @@ equal bytes to the left. A gram with more than ``MOST`` contexts is dealt out by
 every string, and the parts' strings are counted together, dealt out by the strings' own fingerprints.
 
 Defined cases: null text is empty, and a text shorter than ``length`` loses nothing; a document is compared with itself
-too; rows that repeat a doc_id with its text are different places; rows that repeat it with another text share its
-spans; rows without doc_id are returned uncut; other columns are ignored.
+too; rows that repeat a doc_id, with its text or another, and rows without one are documents of their own; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm.store import Workspace
+from tickloom.llm.store import Workspace, free_name, own_ids
 from tickloom.llm.text import BYTE, Prefix, mix, pieces, powers, raw
 
 GRAM = 32
@@ -397,17 +397,27 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
+def _told_apart(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, and a column that tells them apart: doc_id where every row has its own, else a number."""
+    if own_ids(docs):
+        return docs, "doc_id"
+    number = free_name(docs, "row")
+    return Workspace(docs.sparkSession, "suffix_rows").numbered(docs, number), number
+
+
 def remove_repeats(docs: DataFrame, length: int = 200, batches: int = 3) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept (the bytes that remain)."""
-    spans = repeated_spans(docs, length, batches)
-    return docs.select("doc_id", "text").join(spans, "doc_id", "left").mapInArrow(
-        _kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    rows, key = _told_apart(docs.select("doc_id", "text"))
+    spans = repeated_spans(rows.select(F.col(key).alias("doc_id"), "text"), length, batches)
+    joined = rows.join(spans.withColumnRenamed("doc_id", key), key, "left").select("doc_id", "text", "spans")
+    return joined.mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def cut_repeats(docs: DataFrame, length: int = 200, batches: int = 3) -> DataFrame:
     """``docs`` with repeated strings cut from ``text``; of a sign that is cut in part nothing stays. Null stays null."""
-    place, width = docs.columns.index("text"), len(docs.columns)
-    spans = repeated_spans(docs, length, batches).withColumnRenamed("spans", "repeated spans")
+    rows, key = _told_apart(docs)
+    place, width, found = docs.columns.index("text"), len(docs.columns), free_name(docs, "spans")
+    spans = repeated_spans(rows.select(F.col(key).alias("doc_id"), "text"), length, batches)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -420,5 +430,5 @@ def cut_repeats(docs: DataFrame, length: int = 200, batches: int = 3) -> DataFra
             rest = pa.RecordBatch.from_arrays(batch.columns[:width], schema=pa.schema(list(batch.schema)[:width]))
             yield rest.set_column(place, batch.schema.field(place).name, pa.array(texts, pa.string()))
 
-    joined = docs.join(spans, docs["doc_id"] == spans["doc_id"], "left").select(*(docs[c] for c in docs.columns), "repeated spans")
-    return joined.mapInArrow(run, docs.schema)
+    spans = spans.select(F.col("doc_id").alias(key), F.col("spans").alias(found))
+    return rows.join(spans, key, "left").select(*docs.columns, found).mapInArrow(run, docs.schema)
