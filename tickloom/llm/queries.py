@@ -165,17 +165,17 @@ ORACLE: dict[str, str] = {
     """,
     "op10_maxscore_top_k": """
         WITH parts AS (
-            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-        ), flat AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM parts),
+        ), flat AS (SELECT r, vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM parts),
         scores AS (
-            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
-            FROM flat q JOIN flat c ON q.d = c.d AND q.vec_id <> c.vec_id
+            SELECT q.r AS q, c.r AS c, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+            FROM flat q JOIN flat c ON q.d = c.d AND q.r <> c.r
             WHERE q.vec_id % 100 = 0 GROUP BY ALL
         ), ranked AS (
-            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
                 vec_id, score FROM scores
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10

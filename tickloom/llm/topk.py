@@ -11,8 +11,8 @@ Queries come in blocks, each sent to every shard; neither grows with the data, o
 to the smaller vec_id.
 
 Defined cases: vectors that are null, or hold null or a value that is not finite, and rows without vec_id take no part;
-of rows that repeat a vec_id the least vector counts; vectors of another length than the query's are not its candidates;
-other columns are ignored. Scores are exact while they fit 63 bits.
+of rows that repeat a vec_id each is a candidate, and a query, of its own; vectors of another length than the query's
+are not its candidates; other columns are ignored. Scores are exact while they fit 63 bits.
 """
 
 from __future__ import annotations
@@ -34,10 +34,10 @@ STEP = 6
 
 
 class Shard:
-    """Posting lists of some vectors."""
+    """Posting lists of some vectors, which come by rising id; ``keys`` tell them apart."""
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray):
-        self.ids, self.rows = ids, rows
+    def __init__(self, keys: np.ndarray, ids: np.ndarray, rows: np.ndarray):
+        self.keys, self.ids, self.rows = keys, ids, rows
         order = np.argsort(rows, axis=0, kind="stable")
         self.lists = []  # by dimension: rows with a positive, with a negative component, the largest first
         for d in range(rows.shape[1]):
@@ -45,14 +45,14 @@ class Shard:
             value = rows[own, d]
             self.lists.append((own[value > 0][::-1], own[value < 0]))
 
-    def best(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def best(self, key: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best rows other than the query's."""
         dims = np.flatnonzero(query)
         lists = [self.lists[d][0 if query[d] > 0 else 1] for d in dims.tolist()]
         bound = np.array([abs(int(query[d]) * int(self.rows[own[0], d])) if len(own) else 0 for d, own in zip(dims.tolist(), lists)], np.int64)
         order = np.argsort(-bound, kind="stable")
         dims, bound, lists = dims[order], bound[order], [lists[i] for i in order.tolist()]
-        others = self.ids != query_id
+        others = self.keys != key
         threshold = None
         if lists:
             head = np.unique(np.concatenate([own[:HEAD] for own in lists[:LISTS]]))
@@ -73,7 +73,7 @@ class Shard:
             keep = score + int(bound[begin:].sum()) >= threshold
             at, own = at[keep], dims[begin:begin + STEP]
             score = score[keep] + self.rows[at][:, own] @ query[own]
-        top = np.lexsort((self.ids[at], -score))[:k]
+        top = np.lexsort((at, -score))[:k]
         return self.ids[at[top]], score[top]
 
 
@@ -86,46 +86,53 @@ def _search(k: int):
                 size = row["size"].as_py()
                 if key != (row["shard"].as_py(), size):
                     key = row["shard"].as_py(), size
-                    ids = np.frombuffer(row["ids"].as_buffer(), np.int64)
-                    shard = Shard(ids, np.frombuffer(row["rows"].as_buffer(), np.int64).reshape(len(ids), size))
-                queries = np.frombuffer(row["query_ids"].as_buffer(), np.int64)
+                    keys, ids = (np.frombuffer(row[name].as_buffer(), np.int64) for name in ("keys", "ids"))
+                    shard = Shard(keys, ids, np.frombuffer(row["rows"].as_buffer(), np.int64).reshape(len(ids), size))
+                asked, queries = (np.frombuffer(row[name].as_buffer(), np.int64) for name in ("query_keys", "query_ids"))
                 vectors = np.frombuffer(row["queries"].as_buffer(), np.int64).reshape(len(queries), size)
-                found = [shard.best(q, v, k) for q, v in zip(queries.tolist(), vectors)]
+                found = [shard.best(q, v, k) for q, v in zip(asked.tolist(), vectors)]
+                times = [len(i) for i, _ in found]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(queries, [len(i) for i, _ in found])),
+                    [pa.array(np.repeat(asked, times)), pa.array(np.repeat(queries, times)),
                      pa.array(np.concatenate([i for i, _ in found])), pa.array(np.concatenate([s for _, s in found]))],
-                    ["query_id", "vec_id", "score"])
+                    ["query_key", "query_id", "vec_id", "score"])
 
     return run
 
 
 def _packed(names: list[str]):
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("vec_id")
+        rows = rows.sort_by([("vec_id", "ascending"), ("row", "ascending")])
         flat = pa.compute.list_flatten(rows["vector"].combine_chunks())
         return pa.table(
-            [rows["part"][:1], rows["size"][:1], pa.array([rows["vec_id"].to_numpy().tobytes()], pa.binary()),
+            [rows["part"][:1], rows["size"][:1], pa.array([rows["row"].to_numpy().tobytes()], pa.binary()),
+             pa.array([rows["vec_id"].to_numpy().tobytes()], pa.binary()),
              pa.array([flat.to_numpy().tobytes()], pa.binary())], names)
 
     return run
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """``vectors`` and ``queries`` have vec_id long and vector array<long>: query_id, rank, vec_id, score."""
+    """``vectors`` and ``queries`` have row long, which tells them apart, vec_id long and vector array<long>.
+
+    Returns query_id, rank, vec_id and score. A query's own row is not its candidate.
+    """
     shards = max(1, math.ceil(vectors.count() / SHARD))
     blocks = max(1, math.ceil(queries.count() / BLOCK))
 
     def dealt(rows: DataFrame, parts: int, names: list[str]) -> DataFrame:
         return (
-            rows.select("vec_id", "vector", F.size("vector").alias("size"), F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part"))
-            .groupBy("part", "size").applyInArrow(_packed(names), f"{names[0]} int, {names[1]} int, {names[2]} binary, {names[3]} binary"))
+            rows.select("row", "vec_id", "vector", F.size("vector").alias("size"),
+                        F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int").alias("part"))
+            .groupBy("part", "size").applyInArrow(
+                _packed(names), ", ".join(f"{n} {kind}" for n, kind in zip(names, ["int"] * 2 + ["binary"] * 3))))
 
     sent = (
-        dealt(queries, blocks, ["block", "size", "query_ids", "queries"])
+        dealt(queries, blocks, ["block", "size", "query_keys", "query_ids", "queries"])
         .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
-    met = dealt(vectors, shards, ["shard", "size", "ids", "rows"]).join(sent, ["shard", "size"])
-    found = met.mapInArrow(_search(k), "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    met = dealt(vectors, shards, ["shard", "size", "keys", "ids", "rows"]).join(sent, ["shard", "size"])
+    found = met.mapInArrow(_search(k), "query_key long, query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("query_key").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
@@ -135,11 +142,10 @@ def integers(table: DataFrame, scale: int = 1024) -> DataFrame:
     finite = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return (
         table.where("vec_id is not null and embedding is not null").where(finite).select("vec_id", value.alias("value"))
-        .select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("value", lambda x: F.floor(x * scale)).alias("vector"))
-        .groupBy("vec_id").agg(F.min("vector").alias("vector")))
+        .select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("value", lambda x: F.floor(x * scale)).alias("vector")))
 
 
 def search(table: DataFrame, step: int = 100, k: int = 10) -> DataFrame:
     """The k best of all rows for each row whose vec_id is divisible by ``step``."""
-    vectors = Workspace(table.sparkSession, "topk").save(integers(table), "vectors")
+    vectors = Workspace(table.sparkSession, "topk").numbered(integers(table), "row")
     return top_k(vectors, vectors.where(F.col("vec_id") % step == 0), k)
