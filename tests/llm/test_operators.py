@@ -156,6 +156,36 @@ def test_loose_personal_data_is_added(spark):
     assert detector.spans(["bcd the years 1914-1918 passed", "we met at noon. Then abc left"]) == [([], []), ([], [])]
 
 
+def test_many_digit_groups_are_scored_in_bounded_parts(monkeypatch):
+    """Candidates grow with the text and no faster, and no more than a part of them is held."""
+    class Counting:
+        held = 0
+
+        def predict(self, x):
+            self.held = max(self.held, len(x))
+            return np.zeros(len(x))
+
+    monkeypatch.setattr(pii, "CHUNK", 1000)
+    detector = pii.Detector()
+    detector.trees, detector.known, detector.share = Counting(), np.zeros(1), np.full(1, 0.1)
+    sizes = [sum(1 for _ in pii.proposed("1 2 " * n)) for n in (500, 5000, 50_000)]
+    assert sizes[1] < 10.2 * sizes[0] and sizes[2] < 10.2 * sizes[1]
+    assert detector.spans(["1 2 " * 2000, "7" * 500_000]) == [([], []), ([], [])]
+    assert detector.trees.held == 1000
+
+
+def test_covered_spans():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        spans = [(int(s), int(s + n), 0) for s, n in zip(rng.integers(0, 60, 8), rng.integers(1, 9, 8))]
+        covered = pii.Covered(spans[:4])
+        for s, e, _ in spans[4:]:
+            assert covered.meets(s, e) == any(s < f and b < e for b, f in zip(covered.starts, covered.ends))
+            if not covered.meets(s, e):
+                covered.add(s, e)
+        assert covered.starts == sorted(covered.starts)
+
+
 def test_boosted_trees_learn_and_calibrate():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 4))
@@ -393,15 +423,49 @@ def removed(rows, length):
 @pytest.mark.parametrize("most", [512, 2])
 def test_repeated_strings(docs, none, monkeypatch, most):
     monkeypatch.setattr(suffix_dedup, "MOST", most)
-    known = [(i, (t or "").encode()) for i, t in texts() if i is not None and i != 13]
+    known = [(i, (t or "").encode()) for i, t in texts() if i != 13]
     want = sorted(zip([i for i, _ in known], removed([t for _, t in known], 200)), key=repr)
     own = docs.where("doc_id is null or doc_id <> 13")
     found = suffix_dedup.remove_repeats(own)
-    assert results(found.where("doc_id is not null").withColumn("kept", F.col("kept").cast("binary")), "doc_id", "kept") == want
-    assert found.where("doc_id is null and n_removed > 0").isEmpty()
+    assert results(found.withColumn("kept", F.col("kept").cast("binary")), "doc_id", "kept") == want
     assert suffix_dedup.remove_repeats(none).isEmpty()
 
 
+def repeated_ids():
+    """One id with several texts, some of them alone, and copies without an id; and the columns that operators add."""
+    a, b, c, d = (lines(300 + k, 60) for k in range(4))
+    return [(1, a), (1, b), (2, b), (None, c), (None, c), (3, d + " " + c), (None, a[:250]), (4, d), (4, d), (None, None), (1, "")]
+
+
+@pytest.mark.parametrize("clash", ["row", "spans"])
+def test_repeated_strings_of_repeated_ids(spark, clash):
+    rows = repeated_ids()
+    want = sorted(zip([i for i, _ in rows], removed([(t or "").encode() for _, t in rows], 200)), key=repr)
+    frame = spark.createDataFrame([(*r, "x") for r in rows], f"doc_id long, text string, {clash} string")
+    found = suffix_dedup.remove_repeats(frame)
+    assert results(found.withColumn("kept", F.col("kept").cast("binary")), "doc_id", "kept") == want
+    cut = suffix_dedup.cut_repeats(frame)
+    assert cut.columns == frame.columns
+    assert sorted((r.doc_id or 0, (r.text or "").encode()) for r in cut.collect()) == sorted((i or 0, t) for i, t in want)
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    rows = repeated_ids()
+    frame = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, row string")
+    classes = jaccard_classes(list(enumerate(t for _, t in rows)))
+    least = collections.defaultdict(list)
+    for k, (i, _) in enumerate(rows):
+        least[classes[k][1]].append(i)
+    name = {c: min((i for i in own if i is not None), default=None) for c, own in least.items()}
+    want = sorted(((i, classes[k][0], name[classes[k][1]]) for k, (i, _) in enumerate(rows)), key=repr)
+    assert results(near_dup.near_duplicates(frame), "doc_id", "n_shingles", "component_id") == want
+    kept = near_dup.keep_one(frame)
+    assert kept.columns == frame.columns and kept.count() == len(least)
+    a, b, c, d = (lines(300 + k, 60) for k in range(4))
+    assert results(kept.where("length(text) > 300"), "doc_id", "text") == sorted(
+        [(1, a), (1, b), (None, c), (3, d + " " + c), (4, d)], key=repr)
+
+
 def test_passed_strings_of_one_gram_are_spread():
     """A footer after unique text: one gram, and a distinct string for each document and offset."""
     import pyarrow as pa
@@ -464,11 +528,18 @@ def jaccard_classes(rows):
 
 
 def test_near_duplicates(docs, none):
-    want = jaccard_classes([(i, t) for i, t in texts() if i is not None])
+    known = {i: t for i, t in texts() if i is not None}  # rows without an id are copies of these, or empty
+    want = jaccard_classes(list(known.items()))
     found = near_dup.near_duplicates(docs)
     assert found.count() == docs.count()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect() if r.doc_id is not None} == want
-    assert near_dup.near_duplicates(none).isEmpty()
+    assert results(found.where("doc_id is null"), "n_shingles", "component_id") == sorted([(116, 1), (0, None)], key=repr)
+    unique = docs.where("doc_id is not null and doc_id <> 10")
+    found = near_dup.near_duplicates(unique)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == jaccard_classes(
+        [(i, t) for i, t in known.items() if i != 10])
+    assert results(near_dup.keep_one(unique), "doc_id") == results(found.where("doc_id = component_id"), "doc_id")
+    assert near_dup.near_duplicates(none).isEmpty() and near_dup.keep_one(none).isEmpty()
 
 
 def test_a_large_group_of_near_copies(spark):
@@ -506,14 +577,15 @@ def test_top_k_edge_cases(spark):
     rng = np.random.default_rng(6)
     rows = [(int(i), [float(v) for v in rng.integers(-3, 4, 5)]) for i in range(300)]
     rows += [(1000, None), (1100, [1.0, None, 0.0, 0.0, 0.0]), (1200, [float("nan")] * 5), (1300, [float("inf")] * 5),
-             (None, [1.0] * 5), (1400, [0.0] * 5), (1500, [1.0, 2.0]), (300, rows[0][1])]
+             (None, [1.0] * 5), (1400, [0.0] * 5), (1500, [1.0, 2.0]), (300, rows[0][1]), (77, [9.0] * 5), (77, [-9.0] * 5), (200, [3.0] * 5)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    live = {i: np.floor(1024 * np.array(v)).astype(int) for i, v in rows
-            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    live = [(i, np.floor(1024 * np.array(v)).astype(int)) for i, v in rows
+            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     want = []
-    for q in (i for i in live if i % 100 == 0):
-        others = [(-int(live[q] @ v), i) for i, v in live.items() if i != q and len(v) == len(live[q])]
-        want += [(q, k, i, -s) for k, (s, i) in enumerate(sorted(others)[:10], 1)]
+    for n, (q, own) in enumerate(live):
+        if q % 100 == 0:
+            others = [(-int(own @ v), i) for m, (i, v) in enumerate(live) if m != n and len(v) == len(own)]
+            want += [(q, k, i, -s) for k, (s, i) in enumerate(sorted(others)[:10], 1)]
     assert results(topk.search(table), "query_id", "rank", "vec_id", "score") == sorted(want, key=repr)
     assert topk.search(table.limit(0)).isEmpty()
 
@@ -531,6 +603,14 @@ def test_pipeline_stages(spark, docs, none):
         assert stage(spark, none, SF).isEmpty()
 
 
+def test_pipeline_keeps_unlabelled_and_repeated_ids(spark):
+    rows = [(k % 15, lines(700 + k, 40), None, "s") for k in range(19)] + [(None, lines(800, 40), None, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        docs = Workspace(spark, "unlabelled").save(stage(spark, docs, SF), str(k))
+        assert sorted(r.text for r in docs.collect()) == sorted(t for _, t, _, _ in rows), name
+
+
 def test_pipeline_runs_its_stages(spark):
     found = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(found.columns) and found.count() > 100
