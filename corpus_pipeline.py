@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm import language
-from tickloom.llm.near_dup import near_duplicates
+from tickloom.llm.near_dup import keep_one
 from tickloom.llm.pii import Detector, redact
 from tickloom.llm.queries import packed
 from tickloom.llm.store import Workspace, ready
@@ -29,12 +29,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group the document with the smallest doc_id stays, once; rows without doc_id stay."""
+    """Of each group the document with the smallest doc_id stays, once."""
     ready(spark)
-    known = docs.where("doc_id is not null")
-    gone = near_duplicates(known).where("doc_id <> component_id").select("doc_id").distinct()
-    kept = known.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    return keep_one(docs)
 
 
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
