@@ -139,55 +139,84 @@ def moving_avg(spark, sf_dir):
     return op.moving_avg(trades(spark, sf_dir))
 
 
-def _put_trades(spark, rows) -> str:
+def _put_trades(spark, sf_dir) -> str:
     path = scratch(spark, "keyed-trades")
-    keyed_trade_writer(symbol_metadata(spark), path)(rows, 0)
+    keyed_trade_writer(symbol_metadata(spark), path)(trades(spark, sf_dir), 0)
     return path
 
 
-def _keyed_bars(spark, rows, lookback: timedelta) -> DataFrame:
-    """Stored bars from the day on that the look-back reaches."""
+def _put_bars(spark, rows) -> str:
     path = scratch(spark, "keyed-bars")
     keyed_bar_writer(symbol_metadata(spark), path)(rows, 0)
+    return path
+
+
+def _stored_bars(spark, path, lookback: timedelta) -> DataFrame:
+    """Stored bars from the day on that the look-back reaches."""
     return read_keyed_bars(spark, path, (datetime.fromisoformat(AS_OF) - lookback).date())
 
 
-def vwap_range(spark, sf_dir):
-    kept = _keyed_bars(spark, bars(spark, sf_dir), timedelta(minutes=60))
-    return op.vwap_range(kept, "btcusdt", AS_OF, 60)
+def _range(spark, path):
+    return op.vwap_range(_stored_bars(spark, path, timedelta(minutes=60)), "btcusdt", AS_OF, 60)
 
 
-def recent_trades(spark, sf_dir):
-    path = _put_trades(spark, trades(spark, sf_dir))
+def _recent(spark, path):
     return read_recent_trades(spark, path, "btcusdt", 30)
 
 
-def trade_lookup(spark, sf_dir):
+def _lookup(spark, path):
     keys = [f"{symbol}#{LOOKUP_ID:020d}" for symbol in LOOKUP_SYMBOLS]
-    kept = read_keyed_trades(spark, _put_trades(spark, trades(spark, sf_dir)))
-    return op.trade_lookup(kept, *keys)
+    return op.trade_lookup(read_keyed_trades(spark, path), *keys)
 
 
-def latest_bar(spark, sf_dir):
-    kept = _keyed_bars(spark, bars(spark, sf_dir), timedelta(seconds=180))
-    return op.latest_bar(kept, AS_OF)
+def _latest(spark, path):
+    return op.latest_bar(_stored_bars(spark, path, timedelta(seconds=180)), AS_OF)
 
 
-def summary(spark, sf_dir):
-    kept = _keyed_bars(spark, bars(spark, sf_dir), timedelta(seconds=180))
+def _summary(spark, path):
+    kept = _stored_bars(spark, path, timedelta(seconds=180))
     return op.summary(kept, tracked_symbols(spark), symbol_metadata(spark), AS_OF)
 
 
-def symbol_card(spark, sf_dir):
-    """The newest trade comes from the newest stored days of the tracked symbols, of which three columns are read."""
+def _put_market(spark, sf_dir) -> tuple[str, str]:
     table = _in_table(
         spark, "trades", create_trades_table, table_trade_writer, trades(spark, sf_dir))
-    kept = _keyed_bars(spark, op.vwap(spark.table(table)), timedelta(seconds=180))
+    return table, _put_bars(spark, op.vwap(spark.table(table)))
+
+
+def _card(spark, stored):
+    """The newest trade comes from the newest stored days of the tracked symbols, of which three columns are read."""
+    table, path = stored
     newest = read_newest_trades(spark, table, TRACKED_SYMBOLS.split(",")).withColumn(
         "trade_ms", F.unix_millis("event_ts"))
+    kept = _stored_bars(spark, path, timedelta(seconds=180))
     return op.symbol_card(kept, newest, tracked_symbols(spark), symbol_metadata(spark), AS_OF)
 
 
+def _display(spark, path):
+    return op.trade_display(_recent(spark, path))
+
+
+def _all_bars(spark, sf_dir) -> str:
+    return _put_bars(spark, bars(spark, sf_dir))
+
+
+# Serving reads: what stores their rows, and what reads the store.
+READS = {
+    "vwap_range": (_all_bars, _range),
+    "recent_trades": (_put_trades, _recent),
+    "trade_lookup": (_put_trades, _lookup),
+    "latest_bar": (_all_bars, _latest),
+    "summary": (_all_bars, _summary),
+    "symbol_card": (_put_market, _card),
+    "trade_display": (_put_trades, _display),
+}
+
+
+def _stored_first(store, read):
+    return lambda spark, sf_dir: read(spark, store(spark, sf_dir))
+
+
 def pair_info(spark, sf_dir):
     symbols = trades(spark, sf_dir).groupBy("symbol").agg(F.count("*").alias("trades"))
     return op.pair_info(symbols, symbol_metadata(spark))
@@ -209,10 +238,6 @@ def volume_labels(spark, sf_dir):
     return op.volume_labels(bars(spark, sf_dir))
 
 
-def trade_display(spark, sf_dir):
-    return op.trade_display(recent_trades(spark, sf_dir))
-
-
 def _in_table(spark, name, create, writer, rows) -> str:
     table = f"tickloom_{name}_{uuid.uuid4().hex[:12]}"
     create(spark, table, scratch(spark, name))
@@ -269,18 +294,18 @@ QUERIES = {
     "vwap_enriched": vwap_enriched,
     "trade_velocity": trade_velocity,
     "moving_avg": moving_avg,
-    "vwap_range": vwap_range,
-    "recent_trades": recent_trades,
-    "trade_lookup": trade_lookup,
-    "latest_bar": latest_bar,
-    "summary": summary,
-    "symbol_card": symbol_card,
+    "vwap_range": _stored_first(*READS["vwap_range"]),
+    "recent_trades": _stored_first(*READS["recent_trades"]),
+    "trade_lookup": _stored_first(*READS["trade_lookup"]),
+    "latest_bar": _stored_first(*READS["latest_bar"]),
+    "summary": _stored_first(*READS["summary"]),
+    "symbol_card": _stored_first(*READS["symbol_card"]),
     "pair_info": pair_info,
     "price_series": price_series,
     "price_axis": price_axis,
     "volume_share": volume_share,
     "volume_labels": volume_labels,
-    "trade_display": trade_display,
+    "trade_display": _stored_first(*READS["trade_display"]),
     "latest_trades_sql": latest_trades_sql,
     "latest_bars_sql": latest_bars_sql,
     "ohlcv_1min": ohlcv_1min,
