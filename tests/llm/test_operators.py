@@ -369,6 +369,21 @@ def test_language_does_not_depend_on_neighbours():
         assert all(language.Grams(rest).profile(rest.index(text), 50).tolist() == alone for rest in (own, own[::-1]))
 
 
+def test_automaton_equals_the_tokenizer_on_every_sign():
+    """Letters, numbers, white space, lower case and normal forms are those of the library; of large even blocks, one in 97."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, encoder = Tokenizer.from_file(path), bpe_automaton.Encoder(path)
+    even = [range(0x3400, 0xD7A4), range(0xE000, 0xF900), range(0x17000, 0x19000), range(0x20000, 0x110000)]
+    codes = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c % 97 == 0 or not any(c in r for r in even))]
+    texts = [f"x{chr(c)}y1{chr(c)}!{chr(c)}" for c in codes]
+    rng = np.random.default_rng(5)
+    texts += ["".join(map(chr, rng.choice(codes, 40))) for _ in range(1000)]
+    marks = ["e", "\u0301", "\u0323", "\u1dfa", "\u0897", "A", "'s", "'é", "'S", " ", "\u0345", "1", "²"]
+    texts += ["".join(rng.choice(marks, 30)) for _ in range(1000)]
+    for text, want in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(encoder.encode(text)[0], "<u4").tolist() == want.ids, ascii(text)
+
+
 def test_automaton_equals_the_tokenizer(docs, none):
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer, encoder = Tokenizer.from_file(path), bpe_automaton.Encoder(path)

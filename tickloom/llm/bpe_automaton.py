@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 import regex
+from tokenizers import Tokenizer
 
 #: Chunks of text, and moves, that a task keeps at hand; then it starts anew.
 KEPT = 200_000
@@ -177,6 +178,29 @@ class Automaton:
         return found
 
 
+class _Classes(dict):
+    """For ``str.translate``: a sign of the same class for the word split, as the library that wrote the file tells them.
+
+    Each sign is asked for once: a letter clings to a letter, what is neither letter, number nor white space to a stop.
+    """
+
+    def __init__(self, pre_tokenizer):
+        super().__init__((k, k) for k in range(128))
+        self.pre_tokenizer = pre_tokenizer
+
+    def __missing__(self, code: int) -> int:
+        sign = chr(code)
+        # what stands for a letter is no ASCII one, so that no contraction comes about
+        if len(self.pre_tokenizer.pre_tokenize_str("a" + sign)) == 1:
+            stands = "é"
+        elif len(self.pre_tokenizer.pre_tokenize_str("!" + sign)) == 1:
+            stands = "§"
+        else:
+            stands = "²"
+        self[code] = ord(stands)
+        return self[code]
+
+
 class Encoder:
     """The tokenizer of a JSON file with a BPE model on byte signs: normaliser, word split, automaton, labels."""
 
@@ -189,14 +213,23 @@ class Encoder:
         steps = [s["type"] for s in held["normalizer"]["normalizers"]]
         if steps != ["NFC", "Replace", "Lowercase"] or held["decoder"] is not None:
             raise ValueError("only the normalisers NFC, white space and lower case, and no decoder, are known")
+        library = Tokenizer.from_file(path)
+        self.normalizer, self.classes = library.normalizer, _Classes(library.pre_tokenizer)
         self.split = regex.compile(held["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.special = {t["content"]: t["id"] for t in held["added_tokens"]}
         self.marks = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.chunks: dict[str, tuple[bytes, str]] = {}
+        self.met: set[str] = set()
+        self.odd: set[str] = set()
+
+    def _words(self, chunk: str) -> list[str]:
+        if chunk.isascii():
+            return [chunk] if chunk.isalpha() else self.split.findall(chunk)
+        return [chunk[m.start():m.end()] for m in self.split.finditer(chunk.translate(self.classes))]
 
     def _chunk(self, chunk: str) -> tuple[bytes, str]:
         signs, ids = byte_signs(), []
-        for word in [chunk] if chunk.isascii() and chunk.isalpha() else self.split.findall(chunk):
+        for word in self._words(chunk):
             ids += self.automaton.encode_word(word if word.isascii() and word.isprintable() else "".join([signs[b] for b in word.encode()]))
         label = self.automaton.label
         found = np.array(ids, "<u4").tobytes(), " ".join([label[i] for i in ids])
@@ -206,15 +239,30 @@ class Encoder:
             self.chunks[chunk] = found
         return found
 
-    def _plain(self, text: str) -> Iterator[tuple[bytes, str]]:
+    def _normal(self, text: str) -> str:
+        """NFC, blanks for white space, lower case. The library does it for text with signs newer than Unicode 3.2.
+
+        Normal forms of older signs never change, and their lower case is compared once.
+        """
         if not text.isascii():
+            signs = set(text)
+            new = signs - self.met
+            if new:
+                self.met |= new
+                self.odd |= {c for c in new if unicodedata.ucd_3_2_0.category(c) == "Cn" or (
+                    c not in _SPACES and self.normalizer.normalize_str(c) != unicodedata.normalize("NFC", c).replace("Σ", "σ").lower())}
+            if not self.odd.isdisjoint(signs):
+                return self.normalizer.normalize_str(text)
             text = unicodedata.normalize("NFC", text)
             text = text.replace("Σ", "σ")  # lower case is sign by sign, without the final sigma
         for space in _SPACES:
             if space in text:
                 text = text.replace(space, " ")
+        return text.lower()
+
+    def _plain(self, text: str) -> Iterator[tuple[bytes, str]]:
         known = self.chunks
-        for chunk in text.lower().split(" "):
+        for chunk in self._normal(text).split(" "):
             if chunk:
                 found = known.get(chunk)
                 yield self._chunk(chunk) if found is None else found
