@@ -2,11 +2,12 @@
 
 Three ratios of a text can reject it: symbols to letters, repeated lines to lines, and words in repeated eight-word
 windows to words. For every stratum (a language) and rule, the cutoffs of a fixed grid are tested on the labelled
-documents of good quality: with n of them, k above the cutoff and a tolerated share ``risk``, the hypothesis that more
-than ``risk`` of good documents lie above it is given up if P(Binomial(n, risk) <= k) is at most ``error`` divided by
-the number of tests, over all strata, rules and cutoffs (Bonferroni). The lowest cutoff that passes is used; a rule with
-none rejects nothing in that stratum. So with probability 1 - ``error``, in every stratum every rule rejects at most
-``risk`` of the good documents. The grid is fixed beforehand, so all labels are a holdout.
+documents of good quality. Each rule may reject the same share p of them, ``risk`` divided by the number of rules. With n
+good documents and k above the cutoff, the hypothesis that more than p of good documents lie above it is given up if
+P(Binomial(n, p) <= k) is at most ``error`` divided by the number of tests, over all strata, rules and cutoffs
+(Bonferroni). The lowest cutoff that passes is used; a rule with none rejects nothing in that stratum. So with
+probability 1 - ``error``, in every stratum all rules together reject at most ``risk`` of the good documents. The grid is
+fixed beforehand, so all labels are a holdout.
 
 Base checks come first: fewer than 20 words, or over 30 % of words in repeated windows.
 
@@ -107,8 +108,9 @@ def cutoffs(measured: DataFrame, labels: DataFrame, space: Workspace, risk: floa
             F.sum((ratio[rule] > cut).cast("long")).alias("k")) for rule, cut in tests)).alias("tests"))
     tally = space.save(tally, "tally")
     least = math.log(error / (len(tests) * max(1, tally.count())))
-    rows = tally.select("stratum", "n", F.inline("tests")).where(F.col("k") < F.col("n") * risk)
-    passed = rows.where(binomial_tail(F.col("n"), F.col("k"), risk) <= least)
+    each = risk / len(GRID)  # a verdict is any rule's, so that shares add up
+    rows = tally.select("stratum", "n", F.inline("tests")).where(F.col("k") < F.col("n") * each)
+    passed = rows.where(binomial_tail(F.col("n"), F.col("k"), each) <= least)
     return passed.groupBy("stratum").agg(
         *(F.min(F.when(F.col("rule") == rule, F.col("cut"))).alias(f"cut_{rule}") for rule in GRID))
 

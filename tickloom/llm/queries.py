@@ -149,9 +149,9 @@ ORACLE: dict[str, str] = {
                 count(*) FILTER (CASE rule WHEN 'symbols' THEN symbols WHEN 'lines' THEN lines ELSE repeats END > cut) AS k
             FROM good, grid GROUP BY ALL
         ), passed AS (
-            SELECT stratum, rule, cut FROM tally, unnest(range(0, k + 1)) AS u(i) WHERE k < n * 0.02
+            SELECT stratum, rule, cut FROM tally, unnest(range(0, k + 1)) AS u(i) WHERE k < n * (0.02 / 3)
             GROUP BY stratum, rule, cut, n, k
-            HAVING sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.02) + (n - i) * ln(0.98)))
+            HAVING sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.02 / 3) + (n - i) * ln(1 - 0.02 / 3)))
                 <= 0.05 / ((SELECT count(*) FROM grid) * (SELECT count(DISTINCT stratum) FROM tally))
         ), chosen AS (
             SELECT stratum, min(cut) FILTER (rule = 'symbols') AS a, min(cut) FILTER (rule = 'lines') AS b,
