@@ -6,8 +6,8 @@ Of records with equal payloads the one with the largest page_id is a response; t
 digest and length but not its bytes.
 
 The index has one line per capture: URL key with the host reversed, time, and JSON with the record's place. Lines are
-sorted, cut into blocks of ``LINES`` and compressed; a sparse directory holds each block's first key and place. A look-up
-searches the directory by bisection, reads the blocks' byte ranges, and then the records'.
+sorted, cut into blocks of ``LINES`` and compressed; a sparse directory, sorted too, holds each block's first key and place.
+A look-up searches the directory, reads the blocks' byte ranges, bisects their lines, and reads the records' ranges.
 
 Defined cases: null html is an empty payload, and empty payloads are equal to each other; a page without url has an
 empty key; one without page_id is a response if no page with the same payload has one; rows that repeat the page_id of
@@ -35,8 +35,6 @@ from tickloom.llm.store import Workspace, ready
 #: An empty gzip member; a fixed value.
 SEPARATOR = bytes.fromhex("1f8b08000000000000ff03000000000000000000")
 LINES = 3000
-#: Directory rows that a look-up may hold; each stands for LINES captures.
-DIRECTORY = 2_000_000
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -161,8 +159,12 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, date: str = "197
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
     first = rows.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.max("page_id").alias("first"))
-    revisit = F.coalesce(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.lit(False))
-    marked = rows.join(first, "digest", "left").select("page_id", "url", "payload", "digest", "first", revisit.alias("revisit"))
+    # who revisits whom is told without payloads, so that no digest gathers those of all its copies
+    again = rows.where(F.octet_length("payload") >= least).select("page_id", "digest").distinct().join(first, "digest")
+    again = again.where(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")))
+    again = again.select(F.col("page_id").alias("page"), F.col("digest").alias("same"), "first")
+    marked = rows.join(again, F.col("page_id").eqNullSafe(F.col("page")) & (F.col("digest") == F.col("same")), "left").select(
+        "page_id", "url", "payload", "digest", "first", F.col("first").isNotNull().alias("revisit"))
     write_members(marked.mapInArrow(_records(date), "value binary"), path)
 
 
@@ -245,7 +247,6 @@ class CaptureIndex:
     def __init__(self, spark: SparkSession, path: str):
         ready(spark)
         self.spark, self.path = spark, path
-        self._directory: list | None = None
 
     @classmethod
     def build(cls, spark: SparkSession, archives: str, space: Workspace) -> "CaptureIndex":
@@ -256,7 +257,7 @@ class CaptureIndex:
         write_members(lines.mapInArrow(_blocks, "value binary"), f"{index.path}/blocks")
         heads = space.save(read_members(spark, f"{index.path}/blocks").mapInArrow(
             _heads, "key string, file string, block long, within long, length long"), "heads")
-        placed(heads).write.parquet(f"{index.path}/directory")
+        placed(heads).repartitionByRange("key").sortWithinPartitions("key").write.parquet(f"{index.path}/directory")
         return index
 
     def captures(self) -> DataFrame:
@@ -275,22 +276,24 @@ class CaptureIndex:
             stream.close()
 
     def lookup(self, url: str) -> list[dict]:
-        """The captures of a URL: fields and place."""
-        if self._directory is None:
-            rows = self.spark.read.parquet(f"{self.path}/directory").limit(DIRECTORY + 1).collect()
-            if len(rows) > DIRECTORY:
-                raise ValueError("the directory is larger than a look-up may hold; join captures() instead")
-            self._directory = sorted((r.key, r.file, r.offset, r.length) for r in rows)
+        """The captures of a URL: fields and place.
+
+        Spark searches the directory, whose files hold ranges of keys in order. Only the blocks that can hold the key
+        reach the driver, as places, one at a time: those that begin with it, and the last one before them.
+        """
         key = url_key(_escaped(url))
-        at = max(0, bisect_left(self._directory, (key,)) - 1)
+        directory = self.spark.read.parquet(f"{self.path}/directory").select("key", "file", "offset", "length")
+        before = directory.where(F.col("key") < key).agg(F.max(F.struct(*directory.columns)).alias("block")).where("block is not null")
+        may = directory.where(F.col("key") == key).unionByName(before.select("block.*"))
         found = []
-        for first, *place in self._directory[at:]:
-            if first > key:
-                break
-            for line in gzip.decompress(self._range(*place)).splitlines():
+        for block in may.orderBy("key", "file", "offset").toLocalIterator():
+            lines = gzip.decompress(self._range(block.file, block.offset, block.length)).splitlines()
+            at = bisect_left(lines, key.encode(), key=lambda line: line.split(b" ", 1)[0])
+            for line in lines[at:]:
                 own, time, fields = line.split(b" ", 2)
-                if own.decode() == key:
-                    found.append({"time": time.decode(), **json.loads(fields)})
+                if own.decode() != key:
+                    break
+                found.append({"time": time.decode(), **json.loads(fields)})
         return found
 
     def payload(self, capture: dict) -> bytes:
