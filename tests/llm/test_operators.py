@@ -98,6 +98,22 @@ def test_quality_bound_is_the_binomial_one(spark):
         assert np.exp(row.t) == pytest.approx(exact, rel=1e-9)
 
 
+def test_quality_cutoffs_bound_all_rules_together(spark):
+    """With 2,000 good documents a cutoff rejects; 600 would do for one rule at 2 %, but not for three that share them."""
+    words = " ".join(f"w{k}" for k in range(30))
+    good = spark.range(2600).select(
+        F.col("id").alias("doc_id"), F.lit(words).alias("text"), F.when(F.col("id") < 2000, "en").otherwise("de").alias("lang"))
+    noisy = [(5000 + k, f"{words} {'#' * 40}", lang) for k, lang in enumerate(("en", "de", "fr", None))]
+    noisy.append((5010, f"{words} {words} {words} #", "en"))
+    labels = good.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    found = quality.judge(good.unionByName(spark.createDataFrame(noisy, "doc_id long, text string, lang string")), labels)
+    assert found.where("doc_id < 5000 and not kept").isEmpty()
+    assert {r.doc_id: (r.base_failed, r.kept) for r in found.where("doc_id >= 5000").collect()} == {
+        5000: (False, False), 5001: (False, True), 5002: (False, True), 5003: (False, True), 5010: (True, False)}
+    share, tests = 0.02 / 3, 19 * 2
+    assert (1 - share) ** 2000 < 0.05 / tests < (1 - share) ** 600 and 0.98 ** 600 < 0.05 / tests
+
+
 def test_quality_plan_has_no_python(docs, spark):
     plan = quality.counts(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -338,6 +354,18 @@ def test_archives(spark, workers):
     assert warc.archived(pages.limit(0)).isEmpty()
 
 
+def test_lookup_where_a_key_fills_blocks(spark, workers, monkeypatch):
+    """A URL whose captures fill many blocks is found whole, and so are the keys on both sides of it."""
+    monkeypatch.setattr(warc, "LINES", 4)
+    rows = [(k, f"http://{'b' if 5 <= k < 35 else 'a' if k < 5 else 'c'}.org/{0 if 5 <= k < 35 else k}", f"page {k % 7}") for k in range(40)]
+    space = Workspace(spark, "warc")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), f"{space.path}/archives")
+    index = warc.CaptureIndex.build(spark, f"{space.path}/archives", space)
+    for url in ("http://b.org/0", "http://a.org/4", "http://c.org/35", "http://c.org/39", "http://a.org/0"):
+        assert sorted(c["page_id"] for c in index.lookup(url)) == [i for i, u, _ in rows if u == url]
+    assert index.lookup("http://b.org/1") == []
+
+
 def test_separator_never_stands_in_a_member():
     data = warc.SEPARATOR * 3 + bytes(np.random.default_rng(0).integers(0, 256, 5000, dtype=np.uint8))
     assert warc.SEPARATOR not in warc.member(data)
@@ -351,6 +379,35 @@ def test_language_is_known_on_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_language_equals_brute_force(spark):
+    def profile(counts):
+        return sorted(counts, key=lambda g: (-counts[g], len(g), g))[:language.SIZE]
+
+    def grams(text):
+        flow = re.sub(" +", " ", f" {''.join(c if c.isalpha() else ' ' for c in text.lower())} ")
+        own = (flow[k:k + n] for n in (1, 2, 3) for k in range(len(flow) - n + 1))
+        return collections.Counter(g for g in own if g != " " and (len(g) < 3 or g[1] != " "))
+
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang", "text").collect()
+    counts = collections.defaultdict(collections.Counter)
+    for r in rows:
+        if zlib.crc32(str(r.doc_id).encode()) % 5 and r.lang is not None and r.text is not None:
+            counts[r.lang] += grams(r.text)
+    ranks = {lang: {g: k for k, g in enumerate(profile(c))} for lang, c in sorted(counts.items())}
+    found = {r.doc_id: r for r in queries.op6_rank_order_language(spark, SF).collect()}
+    assert len(found) == len(rows)
+    for r in rows:
+        own = profile(grams(r.text or ""))
+        if not own:
+            assert (found[r.doc_id].lang_pred, found[r.doc_id].score) == ("und", 0.0)
+            continue
+        far = {lang: sum(abs(at[g] - k) if g in at else language.SIZE for k, g in enumerate(own)) for lang, at in ranks.items()}
+        best = min(far, key=far.get)
+        second = min(v for lang, v in far.items() if lang != best)
+        assert found[r.doc_id].lang_pred == best
+        assert found[r.doc_id].score == pytest.approx(second / max(1, second + far[best]))
+
+
 def test_language_edge_cases(spark, docs, none):
     known = language.profiles(docs.where("doc_id is not null"))
     found = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, known).collect()}
